@@ -35,6 +35,7 @@ def document_schema(*entities: str) -> str:
     return f"data struct<budget struct<{budget}>, server_knowledge bigint>"
 
 
-def read_budget(spark: SparkSession, root: str, *entities: str, source: str = BUDGET_SOURCE) -> DataFrame:
-    return read_json_snapshots(spark, root, document_schema(*entities), source)
-
+def read_budget(
+    spark: SparkSession, root: str, *entities: str, source: str = BUDGET_SOURCE, lines: bool = False
+) -> DataFrame:
+    return read_json_snapshots(spark, root, document_schema(*entities), source, lines)

@@ -15,16 +15,19 @@ PARQUET_FILES = "*.{pq,parquet}"
 
 
 def read_json_snapshots(
-    spark: SparkSession, root: str, schema: StructType | str, source: str = BUDGET_SOURCE
+    spark: SparkSession,
+    root: str,
+    schema: StructType | str,
+    source: str = BUDGET_SOURCE,
+    lines: bool = False,
 ) -> DataFrame:
-    """JSON documents of all days. Fields a document lacks are NULL; fields that the
-    schema lacks are skipped by the parser, so pass only what is needed."""
-    return (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("basePath", root)
-        .json(f"{root}/by={source}")
-    )
+    """JSON documents of all days: one per file, or one per line of splittable files.
+
+    Fields a document lacks are NULL; fields that the schema lacks are skipped by the
+    parser, so pass only what is needed.
+    """
+    reader = spark.read.schema(schema).option("multiLine", not lines).option("basePath", root)
+    return reader.json(f"{root}/by={source}")
 
 
 def read_parquet_snapshots(

@@ -249,10 +249,14 @@ def stg_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stg_trip_leg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trip_legs(load(spark, sf_dir, "events"))
+
+
+def trip_legs(events: DataFrame) -> DataFrame:
     """Every event as a trip leg; fares of repeated scrapes are corrected to whole dollars."""
     key, user = F.col("event_id"), F.col("user_id")
     fare = _dec("value")
-    return _scraped(load(spark, sf_dir, "events"), key % 5 == 0).select(
+    return _scraped(events, key % 5 == 0).select(
         _id("e", key).alias("trip_id"),
         blank_to_null(F.when(key % 3 == 0, _id("ref-", key % 1500)).otherwise("")).alias("posting_ref"),
         F.col("ts").alias("traveled_on"),
