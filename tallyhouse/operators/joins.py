@@ -38,7 +38,7 @@ def either_key_left_join(
     An OR condition would be a nested loop over both tables. Instead each parent
     is listed once per distinct key it answers to, which makes the match an inner
     equi-join whose hot keys can be split on either side, and the parents that
-    matched nothing are added back.
+    matched by neither key are added back.
 
     ``parent_key`` must be unique and not NULL. Columns of ``children`` get ``prefix``.
     """
@@ -48,14 +48,12 @@ def either_key_left_join(
     renamed = children.select([F.col(c).alias(prefix + c) for c in children.columns])
     families = answers_to.join(renamed, F.col("_ref") == F.col(prefix + child_ref)).drop("_ref")
 
-    wanted = children.select(F.col(child_ref).alias("_wanted")).filter("_wanted is not null").distinct()
-    with_children = (
-        answers_to.select(F.col(parent_key).alias("_parent"), "_ref")
-        .join(wanted, F.col("_ref") == F.col("_wanted"), "left_semi")
-        .select("_parent")
-        .distinct()
-    )
-    childless = parents.join(with_children, parents[parent_key] == F.col("_parent"), "left_anti")
+    # A parent without alternate key is looked up by its own key again: NULLs, which are
+    # common here, would all meet in one partition.
+    childless = anti_join(parents, children, parent_key, child_ref)
+    childless = anti_join(
+        childless.withColumn("_other", F.coalesce(alternate_key, parent_key)), children, "_other", child_ref
+    ).drop("_other")
     return families.unionByName(childless, allowMissingColumns=True)
 
 

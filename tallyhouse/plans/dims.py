@@ -31,22 +31,28 @@ def dim_date(
     return calendar(days, today)
 
 
-def dim_account(
-    accounts: DataFrame, account_map: DataFrame, statements: DataFrame, bank_vendor: str = BANK_VENDOR
+def int_mapped_account(
+    accounts: DataFrame, account_map: DataFrame, bank_vendor: str = BANK_VENDOR
 ) -> DataFrame:
-    """Newest budget accounts with the bank account they are mapped to."""
+    """Newest budget accounts with the bank account number they are mapped to."""
     own = without(latest_per_key(accounts, ["id"], ties=["name"]), "payee_id").withColumnsRenamed(
         {"type": "budget_type", "on_budget": "is_cash"}
     )
     mapped = account_map.filter(F.col("vendor") == bank_vendor)
+    return own.join(mapped, own["id"] == mapped["budget_account_id"], "left").select(
+        *own.columns, "vendor", "vendor_id"
+    )
+
+
+def dim_account(mapped_accounts: DataFrame, statements: DataFrame) -> DataFrame:
+    """Mapped accounts with the newest name of their bank account."""
     bank = latest_per_key(
         statements.select("account_no", "name", "scraped_on"), ["account_no"], ties=["name"]
     ).select("account_no", F.col("name").alias("vendor_type"), F.col("scraped_on").alias("_bank_scraped_on"))
     return (
-        own.join(mapped, own["id"] == mapped["budget_account_id"], "left")
-        .join(bank, F.col("vendor_id") == F.col("account_no"), "left")
+        mapped_accounts.join(bank, F.col("vendor_id") == F.col("account_no"), "left")
         .withColumn("updated_at", F.greatest("scraped_on", "_bank_scraped_on"))
-        .select(*own.columns, "vendor", "vendor_id", "vendor_type", "updated_at")
+        .drop("account_no", "_bank_scraped_on")
     )
 
 

@@ -26,16 +26,12 @@ def int_unique_transaction(transactions: DataFrame) -> DataFrame:
     return latest_per_key(transactions, ["id"], ties=["amount", "description"]).filter(~F.col("is_deleted"))
 
 
-def fact_accounting_transaction(
-    unique_transactions: DataFrame,
-    subtransactions: DataFrame,
-    unique_categories: DataFrame,
-    drop_deleted_parts: bool = False,
+def int_split_transaction(
+    unique_transactions: DataFrame, subtransactions: DataFrame, drop_deleted_parts: bool = False
 ) -> DataFrame:
     """One row per transaction, or per part when a transaction is split.
 
-    Parts point at their transaction's id or at the id of the transaction merged into
-    it. The category becomes the category's row for the month of the transaction.
+    Parts point at their transaction's id or at the id of the transaction merged into it.
     """
     parts = latest_per_key(subtransactions, ["id"], ties=["super_id", "amount"])
     if drop_deleted_parts:
@@ -44,7 +40,7 @@ def fact_accounting_transaction(
     split = either_key_left_join(
         unique_transactions, parts, "id", "matched_transaction_id", "super_id", prefix="part_"
     )
-    rows = split.select(
+    return split.select(
         "budget_id",
         "clearing_status",
         "is_approved",
@@ -61,6 +57,10 @@ def fact_accounting_transaction(
         F.coalesce("part_category_id", "category_id").alias("source_category_id"),
         F.greatest("part_scraped_on", "scraped_on").alias("updated_at"),
     )
+
+
+def fact_accounting_transaction(split_transactions: DataFrame, unique_categories: DataFrame) -> DataFrame:
+    """Transactions and parts, each with its category's row for the month of the transaction."""
     # A category's history row for a month is keyed like its unique row, so the history's own
     # window and group join are not needed here.
     month_rows = unique_categories.select(
@@ -68,7 +68,7 @@ def fact_accounting_transaction(
         F.col("category_id").alias("_category"),
         F.col("budget_month").alias("_month"),
     )
-    return rows.join(
+    return split_transactions.join(
         month_rows,
         (F.col("source_category_id") == F.col("_category")) & (month_start("date_id") == F.col("_month")),
         "left",

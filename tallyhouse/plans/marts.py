@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -50,10 +50,12 @@ def _dashboard_columns() -> dict[str, tuple[str | None, Column]]:
 
 @dataclass(frozen=True)
 class Dimensions:
-    account: DataFrame
-    date: DataFrame
-    category: DataFrame
-    payee: DataFrame
+    """The dimensions of the dashboard, each made only when it is joined."""
+
+    account: Callable[[], DataFrame]
+    date: Callable[[], DataFrame]
+    category: Callable[[], DataFrame]
+    payee: Callable[[], DataFrame]
 
 
 def mart_dashboard(
@@ -68,40 +70,35 @@ def mart_dashboard(
     available = _dashboard_columns()
     wanted = list(available if columns is None else [c for c in available if c in columns])
     needed = {available[c][0] for c in wanted}
-    rows = transactions.select(
-        "account_id",
-        "date_id",
-        F.col("category_id").alias("_category_id"),
-        "payee_id",
-        "amount",
-        "description",
-        "clearing_status",
-        "transfer_account_id",
-    )
+    rows = transactions
     if "account" in needed:
-        account = dims.account.select(F.col("id").alias("_account"), "is_cash")
+        account = dims.account().select(F.col("id").alias("_account"), "is_cash")
         rows = rows.join(account, F.col("account_id") == F.col("_account"), "left")
     if "date" in needed:
         # bounded by the calendar (some 20,000 days), never by the facts
-        day = F.broadcast(dims.date.select(F.col("id").alias("_day"), "year_month", "year_month_week"))
+        day = F.broadcast(dims.date().select(F.col("id").alias("_day"), "year_month", "year_month_week"))
         rows = rows.join(day, F.col("date_id") == F.col("_day"), "left")
     if "category" in needed:
-        category = dims.category.select(
+        category = dims.category().select(
             F.col("id").alias("_category"),
             F.col("name").alias("category_name"),
             "category_group_id",
             "category_group",
             "is_expense",
         )
-        rows = rows.join(category, F.col("_category_id") == F.col("_category"), "left")
+        rows = rows.join(category, F.col("category_id") == F.col("_category"), "left")
     if "payee" in needed:
-        payee = dims.payee.select(
+        payee = dims.payee().select(
             F.col("id").alias("_payee"), F.col("name").alias("payee"), "is_unaccounted", "is_passive"
         )
         rows = rows.join(payee, F.col("payee_id") == F.col("_payee"), "left")
     return rows.select([available[c][1].alias(c) for c in wanted])
 
 
+def needs_category(columns: Collection[str]) -> bool:
+    return any(_dashboard_columns()[c][0] == "category" for c in columns)
+
+
 CASH_FLOW_INPUT = (
     "year_month",
     "payee_name",
@@ -166,27 +163,29 @@ def mart_cash_flow(dashboard: DataFrame, investment_group: str = INVESTMENT_GROU
     return sums.select("year_month", F.inline(edges)).filter("amount > 0")
 
 
-def mart_uncleared(
-    transactions: DataFrame,
-    unique_transactions: DataFrame,
-    bank_transactions: DataFrame,
-    accounts: DataFrame,
-) -> DataFrame:
+def split_totals(unique_transactions: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Transactions that have parts, as one row each."""
+    return (
+        semi_join(unique_transactions, transactions, "id", "super_id")
+        .groupBy("id", F.col("date").alias("date_id"), "account_id", "description", "clearing_status")
+        .agg(money_sum("amount").alias("amount"))
+    )
+
+
+def mart_uncleared(unique_transactions: DataFrame, bank_transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     """Uncleared ledger entries beside bank entries since the last reconciliation.
 
     Entries are possible matches when account and amount agree, so equal amounts give
     every combination.
+
+    A bank shows a split transaction as one entry, so the ledger side is whole
+    transactions plus split ones put together again from their parts' owner. Every
+    transaction is one or the other, and both give its own row: the ledger side is the
+    uncleared transactions before splitting, without a pass over the fact.
     """
     columns = ["id", "date_id", "account_id", "description", "amount"]
-    whole = transactions.filter((F.col("clearing_status") == "uncleared") & F.col("super_id").isNull())
-    uncleared = unique_transactions.filter(F.col("clearing_status") == "uncleared")
-    split = (
-        semi_join(uncleared, transactions, "id", "super_id")
-        .groupBy("id", F.col("date").alias("date_id"), "account_id", "description")
-        .agg(money_sum("amount").alias("amount"))
-    )
-    ledger = whole.select(*columns[:-1], F.col("amount").cast(MONEY_SUM).alias("amount")).unionByName(
-        split.select(columns)
+    ledger = unique_transactions.filter(F.col("clearing_status") == "uncleared").select(
+        "id", F.col("date").alias("date_id"), *columns[2:4], F.col("amount").cast(MONEY_SUM).alias("amount")
     )
     reconciled = accounts.select(F.col("id").alias("account_id"), "last_reconciled_at")
     bank = (

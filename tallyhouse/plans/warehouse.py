@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Collection, Mapping
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,26 +15,41 @@ from tallyhouse.plans import checks, dims, facts, marts, metrics
 from tallyhouse.sources.lake import TableStore
 
 
-@dataclass(frozen=True)
 class Staging:
-    """The staged inputs: ten staging models and three seeds."""
-
-    stg_budget: DataFrame
-    stg_budget_category: DataFrame
-    stg_category_group: DataFrame
-    stg_account: DataFrame
-    stg_payee: DataFrame
-    stg_transaction: DataFrame
-    stg_subtransaction: DataFrame
-    stg_statement: DataFrame
-    stg_card: DataFrame
-    stg_trip_leg: DataFrame
-    payee_flag: DataFrame
-    account_map: DataFrame
-    card_map: DataFrame
-
-    def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+    """The staged inputs by name: ten staging models and three seeds.
+
+    Each is given as a frame or as a function that makes it when it is first needed.
+    """
+
+    NAMES = (
+        "stg_budget",
+        "stg_budget_category",
+        "stg_category_group",
+        "stg_account",
+        "stg_payee",
+        "stg_transaction",
+        "stg_subtransaction",
+        "stg_statement",
+        "stg_card",
+        "stg_trip_leg",
+        "payee_flag",
+        "account_map",
+        "card_map",
+    )
+
+    def __init__(self, **inputs: DataFrame | Callable[[], DataFrame]) -> None:
+        unknown = set(inputs) - set(self.NAMES)
+        if unknown:
+            raise TypeError(f"not staged inputs: {sorted(unknown)}")
+        self._inputs = inputs
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise AttributeError(name)
+        given = self._inputs[name]
+        frame = given if isinstance(given, DataFrame) else given()
+        setattr(self, name, frame)
+        return frame
 
 
 @dataclass(frozen=True)
@@ -87,9 +102,21 @@ class Warehouse:
     def int_enriched_bank_statement(self) -> DataFrame:
         return self._table(
             "int_enriched_bank_statement",
-            lambda: facts.int_enriched_bank_statement(self.staging.stg_statement, self.dim_account),
+            lambda: facts.int_enriched_bank_statement(
+                self.staging.stg_statement, self.int_mapped_account
+            ),
         )
 
+    # ephemeral models: never stored, so that each reader computes only the columns it uses
+    @cached_property
+    def int_mapped_account(self) -> DataFrame:
+        s = self.staging
+        return dims.int_mapped_account(s.stg_account, s.account_map, self.options.bank_vendor)
+
+    @cached_property
+    def int_split_transaction(self) -> DataFrame:
+        return facts.int_split_transaction(self.int_unique_transaction, self.staging.stg_subtransaction)
+
     # dimensions
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -101,12 +128,9 @@ class Warehouse:
 
     @cached_property
     def dim_account(self) -> DataFrame:
-        s = self.staging
         return self._table(
             "dim_account",
-            lambda: dims.dim_account(
-                s.stg_account, s.account_map, s.stg_statement, self.options.bank_vendor
-            ),
+            lambda: dims.dim_account(self.int_mapped_account, self.staging.stg_statement),
         )
 
     @cached_property
@@ -137,9 +161,7 @@ class Warehouse:
         return self._table(
             "fact_accounting_transaction",
             lambda: facts.fact_accounting_transaction(
-                self.int_unique_transaction,
-                self.staging.stg_subtransaction,
-                self.int_unique_budget_category,
+                self.int_split_transaction, self.int_unique_budget_category
             ),
         )
 
@@ -153,7 +175,7 @@ class Warehouse:
     def fact_trip_leg(self) -> DataFrame:
         s = self.staging
         return self._table(
-            "fact_trip_leg", lambda: facts.fact_trip_leg(s.stg_trip_leg, s.card_map, self.dim_account)
+            "fact_trip_leg", lambda: facts.fact_trip_leg(s.stg_trip_leg, s.card_map, self.int_mapped_account)
         )
 
     @cached_property
@@ -169,12 +191,17 @@ class Warehouse:
     def fact_bank_statement(self) -> DataFrame:
         return self._table(
             "fact_bank_statement",
-            lambda: facts.fact_bank_statement(self.staging.stg_statement, self.dim_account),
+            lambda: facts.fact_bank_statement(self.staging.stg_statement, self.int_mapped_account),
         )
 
     # marts
     def _dimensions(self) -> marts.Dimensions:
-        return marts.Dimensions(self.dim_account, self.dim_date, self.dim_budget_category, self.dim_payee)
+        return marts.Dimensions(
+            lambda: self.int_mapped_account if self.store is None else self.dim_account,
+            lambda: self.dim_date,
+            lambda: self.dim_budget_category,
+            lambda: self.dim_payee,
+        )
 
     @cached_property
     def mart_dashboard(self) -> DataFrame:
@@ -188,7 +215,10 @@ class Warehouse:
         dimensions that they do not need."""
         if self.store is not None:
             return self.mart_dashboard.select(*columns)
-        return marts.mart_dashboard(self.fact_accounting_transaction, self._dimensions(), columns)
+        # the fact adds only the category's key to the split transactions
+        by_category = marts.needs_category(columns)
+        rows = self.fact_accounting_transaction if by_category else self.int_split_transaction
+        return marts.mart_dashboard(rows, self._dimensions(), columns)
 
     @cached_property
     def mart_cash_flow(self) -> DataFrame:
@@ -204,10 +234,7 @@ class Warehouse:
         return self._table(
             "mart_uncleared",
             lambda: marts.mart_uncleared(
-                self.fact_accounting_transaction,
-                self.int_unique_transaction,
-                self.fact_vendor_transaction,
-                self.dim_account,
+                self.int_unique_transaction, self.fact_vendor_transaction, self.int_mapped_account
             ),
         )
 
@@ -218,7 +245,7 @@ class Warehouse:
             "mart_ledger_import",
             lambda: marts.mart_ledger_import(
                 self.fact_trip_leg,
-                self.fact_accounting_transaction,
+                self.int_split_transaction if self.store is None else self.fact_accounting_transaction,
                 o.transport_payee,
                 o.transport_category,
             ),
@@ -242,8 +269,7 @@ class Warehouse:
 
     # checks
     def table(self, name: str) -> DataFrame:
-        staged = self.staging.tables()
-        return staged[name] if name in staged else getattr(self, name)
+        return getattr(self.staging if name in Staging.NAMES else self, name)
 
     def check(self, wanted: Mapping[str, Checks] = checks.ALL) -> DataFrame:
         """Failures of every check of the named tables."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -31,9 +31,17 @@ def without_repeats(
 ) -> DataFrame:
     """Drop rows whose keys were seen before, up to ``late_by`` behind the newest row.
 
-    Kept state is bounded by the window, not by the length of the stream.
+    Kept state is bounded by the window, not by the length of the stream. Watermarks need
+    an instant, so wall-clock event times are read as UTC for it.
     """
-    return stream.withWatermark(event_time, late_by).dropDuplicatesWithinWatermark(list(keys))
+    wall_clock = F.col(event_time).cast("string")
+    instant = F.to_timestamp_ltz(F.concat(wall_clock, F.lit("+00:00")))
+    return (
+        stream.withColumn("_event_time", instant)
+        .withWatermark("_event_time", late_by)
+        .dropDuplicatesWithinWatermark(list(keys))
+        .drop("_event_time")
+    )
 
 
 def land(

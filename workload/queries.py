@@ -12,7 +12,7 @@ from tallyhouse.functions.dates import date_literal, presumed_deleted
 from tallyhouse.functions.keys import import_id, surrogate_key
 from tallyhouse.functions.money import MONEY_SUM, to_int
 from tallyhouse.operators import calendar, dedupe, joins, quality, reports, series, unnest
-from tallyhouse.plans import checks, dims, facts, metrics, staging
+from tallyhouse.plans import checks, facts, marts, staging
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.session import scratch_dir
 from tallyhouse.sources import budget, incremental, journeys, lake, statements
@@ -260,6 +260,19 @@ def or_key_join(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    f"""select t.id, t.date as date_id, t.account_id, t.description, t.clearing_status,
+               cast(sum(t.amount) as {oracle.SUM}) as amount
+        from int_unique_transaction t
+        join (select distinct super_id from fact_accounting_transaction) s on s.super_id = t.id
+        group by all"""
+)
+def split_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Semi join of transactions with the parents of parts, one row each."""
+    w = adapters.warehouse(spark, sf)
+    return marts.split_totals(w.int_unique_transaction, w.int_split_transaction)
+
+
 @query(
     f"""select c_custkey as customer, n_orders, spent, largest_share from (
             select o_custkey as c_custkey, count(*) as n_orders,
@@ -618,4 +631,4 @@ def stream_exact_repeats(spark: SparkSession, sf: str) -> DataFrame:
     twice = raw.select("event_id", "ts", "user_id", "value", F.explode(F.array(F.lit(1), F.lit(2)))).drop("col")
     root = scratch_dir(spark, "stream")
     snapshots.land(snapshots.without_repeats(twice, "ts", ["event_id"]), f"{root}/out", f"{root}/state")
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").select("event_id", "ts", "user_id", "value")
