@@ -36,4 +36,4 @@ def merge_days(
     overwrite. ``day`` must be fixed per key, so other days cannot change."""
     touched = arrived.select(day).distinct()
     affected = current.join(touched, day, "left_semi")
-    return latest_per_key(affected.unionByName(arrived), keys, version, ties)
+    return latest_per_key(affected.unionByName(arrived), keys, version, ties).select(current.columns)

@@ -220,17 +220,11 @@ def surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """select d as id, d as date, extract(week from d) as week_of_year, extract(quarter from d) as quarter,
-              cast(date_trunc('week', d) as date) as year_month_week, extract(day from d) as day_of_month,
-              extract(dow from d) as day_of_week, extract(doy from d) as day_of_year,
-              strftime(d, '%A') as weekday_name, strftime(d, '%a') as weekday_short,
-              extract(month from d) as month_of_year, strftime(d, '%B') as month_name,
-              strftime(d, '%b') as month_short, extract(year from d) as year,
-              cast(date_trunc('month', d) as date) as year_month, extract(dow from d) in (0, 6) as is_weekend,
-              date '2001-12-31' as updated_at
-       from (select cast(unnest(generate_series(low, high, interval 1 day)) as date) as d
-             from (select min(cast(o_orderdate as date)) as low,
-                          cast(max(o_orderdate) + interval 20 year - interval 1 day as date) as high from orders))"""
+    oracle.calendar(
+        """select cast(unnest(generate_series(low, high, interval 1 day)) as date) as d
+           from (select min(cast(o_orderdate as date)) as low,
+                        cast(max(o_orderdate) + interval 20 year - interval 1 day as date) as high from orders)"""
+    )
 )
 def dim_date(spark: SparkSession, sf: str) -> DataFrame:
     """Calendar from the first order to 20 years after the last."""
