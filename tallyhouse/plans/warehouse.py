@@ -65,24 +65,44 @@ class Options:
     metric_ranges: Mapping[str, tuple[dt.date, dt.date]] = field(default_factory=dict)
 
 
+# What facts are joined with in the dashboard
+LOOKUPS = frozenset(
+    {"int_mapped_account", "int_unique_budget_category", "dim_budget_category", "dim_payee"}
+)
+
+
 class Warehouse:
     """Models as lazy frames.
 
-    Without a store every model is a plan over the staged inputs. With a store each table
-    model is written once, when first used, and its readers start from the written table;
-    that also ends its lineage, so lost executors cost at most one model's recomputation.
+    Without a store every model is a plan over the staged inputs. With a store each model
+    is written once, when first used, and its readers start from the written table. That
+    ends its lineage, so lost executors cost at most one model's recomputation, and it
+    tells Spark the model's true size: a lookup table that is small gets broadcast, and a
+    large one is joined by sorting. Of a plan with joins in it Spark expects the product
+    of the inputs, and would shuffle the facts once for every dimension.
+
+    ``stored`` limits the store to some models, such as ``LOOKUPS``.
     """
 
     def __init__(
-        self, spark: SparkSession, staging: Staging, options: Options, store: TableStore | None = None
+        self,
+        spark: SparkSession,
+        staging: Staging,
+        options: Options,
+        store: TableStore | None = None,
+        stored: Collection[str] | None = None,
     ) -> None:
         self.spark = spark
         self.staging = staging
         self.options = options
         self.store = store
+        self.stored = stored
+
+    def _is_stored(self, name: str) -> bool:
+        return self.store is not None and (self.stored is None or name in self.stored)
 
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return build() if self.store is None else self.store.write(name, build())
+        return self.store.write(name, build()) if self._is_stored(name) else build()
 
     # intermediate models: read several times, so stored as well
     @cached_property
@@ -107,12 +127,15 @@ class Warehouse:
             ),
         )
 
-    # ephemeral models: never stored, so that each reader computes only the columns it uses
     @cached_property
     def int_mapped_account(self) -> DataFrame:
         s = self.staging
-        return dims.int_mapped_account(s.stg_account, s.account_map, self.options.bank_vendor)
+        return self._table(
+            "int_mapped_account",
+            lambda: dims.int_mapped_account(s.stg_account, s.account_map, self.options.bank_vendor),
+        )
 
+    # ephemeral model: never stored, so that each reader computes only the columns it uses
     @cached_property
     def int_split_transaction(self) -> DataFrame:
         return facts.int_split_transaction(self.int_unique_transaction, self.staging.stg_subtransaction)
@@ -195,9 +218,15 @@ class Warehouse:
         )
 
     # marts
+    def _split_transactions(self) -> DataFrame:
+        """The fact where it is stored, else without the category's key."""
+        if self._is_stored("fact_accounting_transaction"):
+            return self.fact_accounting_transaction
+        return self.int_split_transaction
+
     def _dimensions(self) -> marts.Dimensions:
         return marts.Dimensions(
-            lambda: self.int_mapped_account if self.store is None else self.dim_account,
+            lambda: self.int_mapped_account,
             lambda: self.dim_date,
             lambda: self.dim_budget_category,
             lambda: self.dim_payee,
@@ -213,11 +242,11 @@ class Warehouse:
     def dashboard(self, columns: Collection[str]) -> DataFrame:
         """Columns of the dashboard mart: read from the stored mart, else built without the
         dimensions that they do not need."""
-        if self.store is not None:
+        if self._is_stored("mart_dashboard"):
             return self.mart_dashboard.select(*columns)
         # the fact adds only the category's key to the split transactions
         by_category = marts.needs_category(columns)
-        rows = self.fact_accounting_transaction if by_category else self.int_split_transaction
+        rows = self.fact_accounting_transaction if by_category else self._split_transactions()
         return marts.mart_dashboard(rows, self._dimensions(), columns)
 
     @cached_property
@@ -245,7 +274,7 @@ class Warehouse:
             "mart_ledger_import",
             lambda: marts.mart_ledger_import(
                 self.fact_trip_leg,
-                self.int_split_transaction if self.store is None else self.fact_accounting_transaction,
+                self._split_transactions(),
                 o.transport_payee,
                 o.transport_category,
             ),

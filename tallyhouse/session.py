@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the model graph has several hundred generated stages; the default of 100 recompiles them
+    "spark.sql.codegen.cache.maxEntries": "2000",
     # call sites in error messages cost several JVM calls per column expression
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tallyhouse.functions.dates import month_start, ts_literal
 from tallyhouse.functions.money import MONEY
 from tallyhouse.functions.text import blank_to_null
-from tallyhouse.plans.warehouse import Options, Staging, Warehouse
+from tallyhouse.plans.warehouse import LOOKUPS, Options, Staging, Warehouse
+from tallyhouse.session import scratch_dir
+from tallyhouse.sources.lake import TableStore
 
 AS_OF = dt.date(2001, 12, 31)
 V1 = dt.datetime(2001, 11, 1)
@@ -325,3 +327,10 @@ def staging(spark: SparkSession, sf_dir: str) -> Staging:
 
 def warehouse(spark: SparkSession, sf_dir: str, **kwargs) -> Warehouse:
     return Warehouse(spark, staging(spark, sf_dir), OPTIONS, **kwargs)
+
+
+def with_lookups(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse whose lookup tables are written before facts are joined with them."""
+    return warehouse(
+        spark, sf_dir, store=TableStore(spark, scratch_dir(spark, "lookups")), stored=LOOKUPS
+    )

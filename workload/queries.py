@@ -68,7 +68,7 @@ _MODELS = {
 for _name, _model in _MODELS.items():
     _register(
         _name,
-        lambda spark, sf, _model=_model: adapters.warehouse(spark, sf).table(_model),
+        lambda spark, sf, _model=_model: adapters.with_lookups(spark, sf).table(_model),
         f"select * from {_model}",
     )
 
@@ -78,7 +78,7 @@ for _name, _model in _MODELS.items():
 
 def _metric(name: str, metric: str, sql: str, as_of: dt.date | None = None, **changes) -> None:
     _register(
-        name, lambda spark, sf: adapters.warehouse(spark, sf).metric(metric, as_of, **changes), sql
+        name, lambda spark, sf: adapters.with_lookups(spark, sf).metric(metric, as_of, **changes), sql
     )
 
 
@@ -164,7 +164,7 @@ _metric("metric_uncleared_count", "uncleared_count", "select count(*) as value f
        from mart_uncleared order by all limit 1000"""
 )
 def uncleared_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return adapters.warehouse(spark, sf).uncleared_rows()
+    return adapters.with_lookups(spark, sf).uncleared_rows()
 
 
 # --- operators --------------------------------------------------------------
@@ -602,7 +602,7 @@ for _run, _sql in (
         where e.balance <> a.balance"""
 )
 def dq_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    return adapters.warehouse(spark, sf).check_balances()
+    return adapters.with_lookups(spark, sf).check_balances()
 
 
 # --- streaming --------------------------------------------------------------
