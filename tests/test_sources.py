@@ -210,3 +210,13 @@ def test_merge_days_touches_only_arrived_days(spark, rows):
     out = incremental.merge_days(current, arrived, ["id"], "day", "v", [])
     assert out.columns == current.columns
     assert rows(out) == [("a", d1, 2), ("b", d1, 1), ("d", d1, 1)]
+
+
+def test_models_as_catalog_table_and_view(spark, rows):
+    lake.save_as_table(spark.range(3), "tallyhouse_test_table")
+    lake.save_as_table(spark.range(2), "tallyhouse_test_table")  # rebuilt whole
+    try:
+        lake.expose_as_view(spark.table("tallyhouse_test_table").filter("id > 0"), "tallyhouse_test_view")
+        assert rows(spark.sql("select * from tallyhouse_test_view")) == [(1,)]
+    finally:
+        spark.sql("drop table tallyhouse_test_table")

@@ -15,7 +15,7 @@ from tallyhouse.operators import calendar, dedupe, joins, quality, reports, seri
 from tallyhouse.plans import checks, facts, marts, staging
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.session import scratch_dir
-from tallyhouse.sources import budget, incremental, journeys, lake, statements
+from tallyhouse.sources import budget, incremental, journeys, lake, seeds, statements
 from tallyhouse.streaming import snapshots
 from workload import adapters, oracle
 
@@ -324,14 +324,94 @@ def json_props_unnest(spark: SparkSession, sf: str) -> DataFrame:
     return unnest.unnest(events, entries, keep)
 
 
+def _through_documents(
+    spark: SparkSession, rows: DataFrame, array: str | None, entry: Column | None, stage: Callable
+) -> DataFrame:
+    """Write each row as a JSON budget document of its scrape day, read the lake back and stage it."""
+    c = F.col
+    if array is None:  # the budget's own fields
+        fields = [
+            c("id"),
+            c("name"),
+            c("modified_at").cast("string").alias("last_modified_on"),
+            F.struct(c("currency_code").alias("iso_code"), "currency_symbol").alias("currency_format"),
+        ]
+    else:
+        fields = [F.lit("b0").alias("id"), F.array(entry).alias(array)]
+    document = F.struct(F.struct(*fields).alias("budget"), F.lit(1).cast("bigint").alias("server_knowledge"))
+    root = scratch_dir(spark, "budget")
+    documents = rows.select(document.alias("data"), c("scraped_on").cast("date").alias("date"))
+    documents.write.partitionBy("date").json(f"{root}/by={lake.BUDGET_SOURCE}")
+    arrays = [array] if array else []
+    return stage(budget.read_budget(spark, root, *arrays, lines=True))
+
+
+def _milliunits(name: str) -> Column:
+    return (F.col(name) * 1000).cast("bigint")
+
+
+@query("select * from stg_budget")
+def stg_budget(spark: SparkSession, sf: str) -> DataFrame:
+    return _through_documents(spark, adapters.stg_budget(spark, sf), None, None, staging.stg_budget)
+
+
+@query("select * from stg_account")
+def stg_account(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col
+    entry = F.struct(
+        "id",
+        "name",
+        "type",
+        "on_budget",
+        c("is_closed").alias("closed"),
+        c("is_deleted").alias("deleted"),
+        c("payee_id").alias("transfer_payee_id"),
+        c("last_reconciled_at").cast("string").alias("last_reconciled_at"),
+    )
+    return _through_documents(spark, adapters.stg_account(spark, sf), "accounts", entry, staging.stg_account)
+
+
+@query("select * from stg_payee")
+def stg_payee(spark: SparkSession, sf: str) -> DataFrame:
+    entry = F.struct("id", "name", "transfer_account_id", F.lit(False).alias("deleted"))
+    return _through_documents(spark, adapters.stg_payee(spark, sf), "payees", entry, staging.stg_payee)
+
+
+@query("select * from stg_category_group")
+def stg_category_group(spark: SparkSession, sf: str) -> DataFrame:
+    entry = F.struct("id", "name", F.lit(False).alias("hidden"), F.col("is_deleted").alias("deleted"))
+    rows = adapters.stg_category_group(spark, sf)
+    return _through_documents(spark, rows, "category_groups", entry, staging.stg_category_group)
+
+
+@query("select * from stg_budget_category")
+def stg_budget_category(spark: SparkSession, sf: str) -> DataFrame:
+    """Categories below months, two levels deep, with goal codes turned into labels."""
+    code = F.lit(None).cast("string")
+    for key, label in staging.GOAL_LABELS.items():
+        code = F.when(F.col("goal_type") == label, key).otherwise(code)
+    category = F.struct(
+        "id",
+        "category_group_id",
+        "name",
+        _milliunits("budget_amount").alias("budgeted"),
+        code.alias("goal_type"),
+        _milliunits("goal_amount").alias("goal_target"),
+        F.col("goal_due").cast("string").alias("goal_target_month"),
+        F.col("is_deleted").alias("deleted"),
+    )
+    month = F.struct(F.col("budget_month").cast("string").alias("month"), F.array(category).alias("categories"))
+    rows = adapters.stg_budget_category(spark, sf)
+    return _through_documents(spark, rows, "months", month, staging.stg_budget_category)
+
+
 @query("select * from stg_transaction")
-def budget_snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    """Transactions as JSON budget documents in a partitioned lake, read back and staged."""
+def stg_transaction(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col
     entry = F.struct(
         "id",
-        F.date_format("date", "yyyy-MM-dd").alias("date"),
-        (c("amount") * 1000).cast("bigint").alias("amount"),
+        c("date").cast("string").alias("date"),
+        _milliunits("amount").alias("amount"),
         c("description").alias("memo"),
         c("clearing_status").alias("cleared"),
         c("is_approved").alias("approved"),
@@ -342,16 +422,51 @@ def budget_snapshots(spark: SparkSession, sf: str) -> DataFrame:
         "matched_transaction_id",
         c("is_deleted").alias("deleted"),
     )
-    document = F.struct(
-        F.struct(c("budget_id").alias("id"), F.array(entry).alias("transactions")).alias("budget"),
-        F.lit(1).cast("bigint").alias("server_knowledge"),
+    rows = adapters.stg_transaction(spark, sf)
+    return _through_documents(spark, rows, "transactions", entry, staging.stg_transaction)
+
+
+@query("select * from stg_subtransaction")
+def stg_subtransaction(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col
+    entry = F.struct(
+        "id",
+        c("super_id").alias("transaction_id"),
+        _milliunits("amount").alias("amount"),
+        c("description").alias("memo"),
+        "payee_id",
+        "category_id",
+        "transfer_account_id",
+        c("is_deleted").alias("deleted"),
     )
-    root = scratch_dir(spark, "budget")
-    documents = adapters.stg_transaction(spark, sf).select(
-        document.alias("data"), c("scraped_on").cast("date").alias("date")
+    rows = adapters.stg_subtransaction(spark, sf)
+    return _through_documents(spark, rows, "subtransactions", entry, staging.stg_subtransaction)
+
+
+@query("select * from stg_card")
+def stg_card(spark: SparkSession, sf: str) -> DataFrame:
+    """Cards out of the transit rows that carry them."""
+    n = F.col("user_id") % 20
+    versions = F.when(n % 4 == 0, F.array(F.lit(""), F.lit(" (old)"))).otherwise(F.array(F.lit(" (old)")))
+    legs = adapters.load(spark, sf, "events").select(n.alias("n"), F.explode(versions).alias("suffix"))
+    first, second = str(adapters.V1), str(adapters.V2)
+    return staging.stg_card(
+        legs.select(
+            F.concat(F.lit("k"), F.col("n").cast("string")).alias("card_id"),
+            F.concat(F.lit("Card "), F.col("n").cast("string"), "suffix").alias("card_name"),
+            F.when(F.col("suffix") == "", second).otherwise(first).alias("scraped_on"),
+        )
     )
-    documents.write.partitionBy("date").json(f"{root}/by={lake.BUDGET_SOURCE}")
-    return staging.stg_transaction(budget.read_budget(spark, root, "transactions", lines=True))
+
+
+@query("select payee_id, payee_name, is_unaccounted, is_passive from payee_flag")
+def seed_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """A seed written as CSV with 0/1 flags and read with declared types."""
+    root = scratch_dir(spark, "seed")
+    flags = adapters.payee_flag(spark, sf)
+    as_numbers = {c: F.col(c).cast("int") for c in ("is_unaccounted", "is_passive")}
+    flags.withColumns(as_numbers).write.option("header", True).csv(root)
+    return seeds.read_seed(spark, root, seeds.PAYEE_FLAG)
 
 
 @query(
