@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.functions.dates import date_literal
+from tallyhouse.functions.dates import date_literal, month_start
 from tallyhouse.functions.money import money_sum, ratio
 from tallyhouse.operators.series import (
     change_from_previous,
@@ -18,7 +18,8 @@ from tallyhouse.operators.series import (
     top_k,
 )
 
-GRAINS = {"P1D": "day", "P1M": "month"}
+# calendar grains of dates: they do not pass through an instant, so no time zone is involved
+GRAINS: dict[str, Callable[[str], Column]] = {"P1D": F.to_date, "P1M": month_start}
 
 
 @dataclass(frozen=True)
@@ -72,8 +73,7 @@ def run_metric(spec: MetricSpec, mart: DataFrame, as_of: dt.date) -> DataFrame:
         df = df.filter((F.col(spec.time_column) >= bounds[0]) & (F.col(spec.time_column) < bounds[1]))
     keys = [F.col(c) for c in spec.group_by]
     if spec.grain:
-        period = F.date_trunc(GRAINS[spec.grain], spec.time_column).cast("date").alias("period")
-        keys = [period, *keys]
+        keys = [GRAINS[spec.grain](spec.time_column).alias("period"), *keys]
     out = df.groupBy(*keys).agg(spec.value().alias("value")) if keys else df.agg(spec.value().alias("value"))
     by = spec.group_by
     if spec.cumulative:

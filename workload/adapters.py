@@ -7,6 +7,7 @@ the first, some of them again, changed, in the second.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -329,8 +330,7 @@ def warehouse(spark: SparkSession, sf_dir: str, **kwargs) -> Warehouse:
     return Warehouse(spark, staging(spark, sf_dir), OPTIONS, **kwargs)
 
 
-def with_lookups(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """A warehouse whose lookup tables are written before facts are joined with them."""
-    return warehouse(
-        spark, sf_dir, store=TableStore(spark, scratch_dir(spark, "lookups")), stored=LOOKUPS
-    )
+def with_lookups(spark: SparkSession, sf_dir: str, also: Collection[str] = ()) -> Warehouse:
+    """A warehouse whose lookup tables, and models read several times, are written before use."""
+    store = TableStore(spark, scratch_dir(spark, "models"))
+    return warehouse(spark, sf_dir, store=store, stored=LOOKUPS | set(also))

@@ -12,7 +12,7 @@ from tallyhouse.functions.dates import date_literal, presumed_deleted
 from tallyhouse.functions.keys import import_id, surrogate_key
 from tallyhouse.functions.money import MONEY_SUM, to_int
 from tallyhouse.operators import calendar, dedupe, joins, quality, reports, series, unnest
-from tallyhouse.plans import checks, facts, marts, staging
+from tallyhouse.plans import checks, facts, marts, metrics, staging
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.session import scratch_dir
 from tallyhouse.sources import budget, incremental, journeys, lake, seeds, statements
@@ -46,6 +46,10 @@ def _register(name: str, run: Query, sql: str) -> None:
 
 # --- models -----------------------------------------------------------------
 
+# Both sides of the reconciliation join are read for its pairs and for its unmatched rows. The
+# ledger side comes straight from one shuffle that Spark reuses; the bank side is a long plan.
+RECONCILED = ("fact_vendor_transaction",)
+_READ_AGAIN = {"mart_uncleared": RECONCILED}
 _MODELS = {
     "latest_transaction_live": "int_unique_transaction",
     "budget_category_unique": "int_unique_budget_category",
@@ -68,7 +72,7 @@ _MODELS = {
 for _name, _model in _MODELS.items():
     _register(
         _name,
-        lambda spark, sf, _model=_model: adapters.with_lookups(spark, sf).table(_model),
+        lambda spark, sf, _model=_model: adapters.with_lookups(spark, sf, _READ_AGAIN.get(_model, ())).table(_model),
         f"select * from {_model}",
     )
 
@@ -77,8 +81,9 @@ for _name, _model in _MODELS.items():
 
 
 def _metric(name: str, metric: str, sql: str, as_of: dt.date | None = None, **changes) -> None:
+    also = RECONCILED if metrics.METRICS[metric].source == "uncleared" else ()
     _register(
-        name, lambda spark, sf: adapters.with_lookups(spark, sf).metric(metric, as_of, **changes), sql
+        name, lambda spark, sf: adapters.with_lookups(spark, sf, also).metric(metric, as_of, **changes), sql
     )
 
 
@@ -164,7 +169,7 @@ _metric("metric_uncleared_count", "uncleared_count", "select count(*) as value f
        from mart_uncleared order by all limit 1000"""
 )
 def uncleared_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return adapters.with_lookups(spark, sf).uncleared_rows()
+    return adapters.with_lookups(spark, sf, RECONCILED).uncleared_rows()
 
 
 # --- operators --------------------------------------------------------------
