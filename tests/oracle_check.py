@@ -54,7 +54,14 @@ def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(spark_entry.queries())
-    spark = build_session(master="local[8]", conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session(
+        master="local[8]",
+        conf={
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+        },
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connect(sf_dir), []
     for name in names:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallyhouse.functions.dates import date_literal, presumed_deleted
 from tallyhouse.functions.keys import import_id, surrogate_key
 from tallyhouse.functions.money import MONEY_SUM, to_int
-from tallyhouse.operators import calendar, dedupe, joins, quality, reports, series, unnest
+from tallyhouse.operators import calendar, dedupe, joins, quality, series, unnest
 from tallyhouse.plans import checks, facts, marts, metrics, staging
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.session import scratch_dir
