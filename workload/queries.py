@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import cache
+from functools import cache, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -13,7 +13,7 @@ from tallyhouse.functions.keys import import_id, surrogate_key
 from tallyhouse.functions.money import MONEY_SUM, to_int
 from tallyhouse.operators import calendar, dedupe, joins, quality, series, unnest
 from tallyhouse.plans import checks, facts, marts, metrics, staging
-from tallyhouse.plans.warehouse import Warehouse
+from tallyhouse.plans.warehouse import LOOKUPS, Warehouse
 from tallyhouse.session import scratch_dir
 from tallyhouse.sources import budget, incremental, journeys, lake, seeds, statements
 from tallyhouse.streaming import snapshots
@@ -69,12 +69,17 @@ _MODELS = {
     "mart_uncleared": "mart_uncleared",
     "mart_ledger_sink": "mart_ledger_import",
 }
+
+
+def _model_table(spark: SparkSession, sf: str, model: str) -> DataFrame:
+    """Facts and marts are joined with stored lookups; lookups themselves are only planned."""
+    if model in LOOKUPS or model.startswith("dim_"):
+        return adapters.warehouse(spark, sf).table(model)
+    return adapters.with_lookups(spark, sf, _READ_AGAIN.get(model, ())).table(model)
+
+
 for _name, _model in _MODELS.items():
-    _register(
-        _name,
-        lambda spark, sf, _model=_model: adapters.with_lookups(spark, sf, _READ_AGAIN.get(_model, ())).table(_model),
-        f"select * from {_model}",
-    )
+    _register(_name, partial(_model_table, model=_model), f"select * from {_model}")
 
 
 # --- metrics ----------------------------------------------------------------
