@@ -12,14 +12,17 @@ def con():
     return oracle_check.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_check.spark_entry.queries()))
+OWN = oracle_check.spark_entry.QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_matches_sql(spark, con, name):
     ok, text = oracle_check.compare(spark, con, name, SF)
     assert ok, text
 
 
 def test_every_query_has_sql():
-    assert set(oracle_check.spark_entry.queries()) == set(oracle_check.spark_entry.oracle_sql())
+    assert set(OWN) == set(oracle_check.spark_entry.SQL)
 
 
 def test_either_key_match_in_its_or_form(spark, con):
