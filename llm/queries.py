@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import debruijn, minhash
+from llm import debruijn, minhash, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,10 +19,14 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = debruijn.remove_repeats(_table(spark, sf_dir, "documents"))
     return rows.select("rest.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_minhash_dedup, op7_substring_dedup)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_minhash_dedup, op6_packing, op7_substring_dedup)}
 SQL: dict[str, str] = {}

@@ -67,6 +67,11 @@ CHECK_POWERS = Powers(0xE7037ED1A0B428DB)
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
 
 
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the spans data[start:end], equal for equal bytes."""
+    return _BYTE_POWERS.spans(_BYTE_VALUES[data], start, end)
+
+
 @dataclass
 class Block:
     """Some texts: their bytes, and the bounds and hashes of their words."""
@@ -122,7 +127,7 @@ def block(data: np.ndarray, text_at: np.ndarray, first: int = 0, lower: bool = F
     start = np.flatnonzero(inside[1:] & (~inside[:-1] | border))
     end = np.flatnonzero(inside[:-1] & (~inside[1:] | border))
     word_at = np.searchsorted(start, text_at)
-    return Block(first, data, text_at, start, end, word_at, _BYTE_POWERS.spans(_BYTE_VALUES[data], start, end))
+    return Block(first, data, text_at, start, end, word_at, byte_hashes(data, start, end))
 
 
 def blocks(column: pa.Array, lower: bool = False, most: int = BLOCK_BYTES) -> Iterator[Block]:
