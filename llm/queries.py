@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import debruijn, minhash, packing
+from llm import debruijn, minhash, mixing, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,12 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mixed.select("row.doc_id", "size", "source_size", "target", taken)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -28,5 +34,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("rest.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_minhash_dedup, op6_packing, op7_substring_dedup)}
-SQL: dict[str, str] = {}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rows = toxicity.scored(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+    return rows.select("row.doc_id", *(f"p_{c}" for c in toxicity.CATEGORIES), "toxic")
+
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_minhash_dedup, op3_mixing, op6_packing, op7_substring_dedup, op10_toxicity)}
+SQL: dict[str, str] = {"op3_mixing": mixing.SQL}
