@@ -15,6 +15,7 @@ import __spark_entry__ as spark_entry  # noqa: E402
 from tallyhouse import build_session  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES += "documents embeddings pages benchmark labels conversations".split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
