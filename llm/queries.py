@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import debruijn, minhash, mixing, packing, toxicity
+from llm import debruijn, hilbert, minhash, mixing, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -40,5 +44,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", *(f"p_{c}" for c in toxicity.CATEGORIES), "toxic")
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_minhash_dedup, op3_mixing, op6_packing, op7_substring_dedup, op10_toxicity)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_hilbert_neighbours, op2_minhash_dedup, op3_mixing, op6_packing, op7_substring_dedup, op10_toxicity)}
 SQL: dict[str, str] = {"op3_mixing": mixing.SQL}
