@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import debruijn, hilbert, minhash, mixing, packing, toxicity
+from llm import chat, debruijn, hilbert, minhash, mixing, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,11 +38,20 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("rest.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    row = lambda turn, role: (F.lit(chat.TRICKY_ID).cast("long").alias("conv_id"), F.lit(turn).cast("long").alias("turn"),
+                              F.lit(role).alias("role"), F.lit(chat.TRICKY_TEXT).alias("text"))
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    for turn, role in enumerate(("user", "assistant")):
+        turns = turns.union(spark.range(0, 1, 1, 1).select(*row(turn, role)))
+    return chat.digests(chat.format_conversations(turns))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     rows = toxicity.scored(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
     return rows.select("row.doc_id", *(f"p_{c}" for c in toxicity.CATEGORIES), "toxic")
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_hilbert_neighbours, op2_minhash_dedup, op3_mixing, op6_packing, op7_substring_dedup, op10_toxicity)}
-SQL: dict[str, str] = {"op3_mixing": mixing.SQL}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_hilbert_neighbours, op2_minhash_dedup, op3_mixing, op6_packing, op7_substring_dedup, op8_chat_format, op10_toxicity)}
+SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op8_chat_format": chat.SQL}

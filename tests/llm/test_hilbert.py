@@ -57,7 +57,7 @@ def test_blocks_of_a_split_range_meet_every_query(spark, monkeypatch):
     monkeypatch.setattr(hilbert, "BLOCK", 2)
     monkeypatch.setattr(hilbert, "BESIDE", hilbert.RANGES)
     r = np.random.default_rng(3)
-    rows = [(i, r.standard_normal(6).astype(np.float32).tolist()) for i in range(400)]
+    rows = [(i, r.standard_normal(6).astype(np.float32).tolist()) for i in range(100)]
     assert search(spark, rows) == brute(rows, lambda i: i % 2 == 0)
 
 
