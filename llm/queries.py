@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import chat, debruijn, hilbert, minhash, mixing, packing, toxicity
+from llm import chat, debruijn, hilbert, minhash, mixing, packing, spotsigs, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", taken)
 
 
+def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -53,5 +57,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", *(f"p_{c}" for c in toxicity.CATEGORIES), "toxic")
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_hilbert_neighbours, op2_minhash_dedup, op3_mixing, op6_packing, op7_substring_dedup, op8_chat_format, op10_toxicity)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_hilbert_neighbours, op2_minhash_dedup, op3_mixing, op5_spotsigs, op6_packing, op7_substring_dedup, op8_chat_format, op10_toxicity)}
 SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op8_chat_format": chat.SQL}
