@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import chat, debruijn, hilbert, minhash, mixing, packing, spotsigs, toxicity
+from llm import chat, debruijn, hilbert, licences, minhash, mixing, packing, quality, spotsigs, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", taken)
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
 def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -51,11 +56,17 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(turns))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rows = quality.scored(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+    return rows.select("row.doc_id", "held_out", "score", "predicted")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     rows = toxicity.scored(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
     return rows.select("row.doc_id", *(f"p_{c}" for c in toxicity.CATEGORIES), "toxic")
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_hilbert_neighbours, op2_minhash_dedup, op3_mixing, op5_spotsigs, op6_packing, op7_substring_dedup, op8_chat_format, op10_toxicity)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_hilbert_neighbours, op2_minhash_dedup, op3_mixing, op4_licences, op5_spotsigs, op6_packing, op7_substring_dedup, op8_chat_format, op9_quality, op10_toxicity)}
 SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op8_chat_format": chat.SQL}
