@@ -109,6 +109,13 @@ class Chain:
         return x[:, 1 + found.shape[1] :]
 
 
+def fit_category(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of one category, which never occurs if no row has it."""
+    if y.any():
+        return fit_logistic(x, y, free=1)
+    return np.concatenate([[-20.0], np.zeros(x.shape[1] - 1)])
+
+
 def fit_chain(found: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> list[np.ndarray]:
     """Weights per category, in the order of the columns of labels."""
     x, out = np.hstack([np.ones((len(found), 1)), found]), []
@@ -117,9 +124,8 @@ def fit_chain(found: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> list[n
         for k in range(FOLDS):
             own = fold == k
             if own.any():
-                w = fit_logistic(x[~own], y[~own], free=1) if (~own).any() else np.zeros(x.shape[1])
-                apart[own] = sigmoid(x[own] @ w)
-        out.append(fit_logistic(x, y, free=1))
+                apart[own] = sigmoid(x[own] @ fit_category(x[~own], y[~own]))
+        out.append(fit_category(x, y))
         x = np.hstack([x, apart[:, None]])
     return out
 
