@@ -91,10 +91,3 @@ def extract_sheets(grid: DataFrame, layout: SheetLayout = SheetLayout()) -> Data
             "Currency",
         )
     )
-
-
-def promote_header(grid: DataFrame, order: str = "row_no") -> DataFrame:
-    """Use the first row of a single grid as column names and drop it."""
-    first = grid.orderBy(order).first()
-    names = {c: str(first[c]) for c in grid.columns if c != order}
-    return grid.filter(F.col(order) > F.lit(first[order])).withColumnsRenamed(names)

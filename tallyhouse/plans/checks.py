@@ -79,11 +79,13 @@ STAGING = {
 }
 
 SEEDS = {
-    "payee_flag": Checks("payee_id is_unaccounted is_passive", refers={"payee_id": ("stg_payee", "id")}),
+    "payee_flag": Checks("payee_id is_unaccounted is_passive", unique="payee_id", refers={"payee_id": ("stg_payee", "id")}),
     "account_map": Checks(
-        "budget_account_id vendor vendor_id", refers={"budget_account_id": ("stg_account", "id")}
+        "budget_account_id vendor vendor_id",
+        unique="budget_account_id",
+        refers={"budget_account_id": ("stg_account", "id")},
     ),
-    "card_map": Checks("bank_card_id vendor vendor_id"),
+    "card_map": Checks("bank_card_id vendor vendor_id", unique="bank_card_id"),
 }
 
 INTERMEDIATE = {

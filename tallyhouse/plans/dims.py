@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyhouse.functions.dates import add_years, date_literal
 from tallyhouse.functions.keys import surrogate_key
 from tallyhouse.operators.calendar import calendar, day_spine
-from tallyhouse.operators.dedupe import latest_per_key, without
+from tallyhouse.operators.dedupe import first_per_key, latest_per_key, newest as newest_first, oldest, without
 from tallyhouse.operators.scd import with_validity
 
 # Fixed values
@@ -34,11 +34,14 @@ def dim_date(
 def int_mapped_account(
     accounts: DataFrame, account_map: DataFrame, bank_vendor: str = BANK_VENDOR
 ) -> DataFrame:
-    """Newest budget accounts with the bank account number they are mapped to."""
+    """Newest budget accounts with the bank account number they are mapped to: the first one, if several."""
     own = without(latest_per_key(accounts, ["id"], ties=["name"]), "payee_id").withColumnsRenamed(
         {"type": "budget_type", "on_budget": "is_cash"}
     )
-    mapped = account_map.filter(F.col("vendor") == bank_vendor)
+    # a second row for an account would double its transactions wherever accounts are joined
+    mapped = first_per_key(
+        account_map.filter(F.col("vendor") == bank_vendor), ["budget_account_id"], [oldest("vendor_id")]
+    )
     return own.join(mapped, own["id"] == mapped["budget_account_id"], "left").select(
         *own.columns, "vendor", "vendor_id"
     )
@@ -68,9 +71,13 @@ def dim_budget(budgets: DataFrame) -> DataFrame:
 
 
 def dim_payee(payees: DataFrame, flags: DataFrame) -> DataFrame:
-    """Newest payees with their flags; a payee without flags has both false."""
+    """Newest payees with their flags; a payee without flags has both false.
+
+    Of several rows for a payee the first by name counts, and of these one that is flagged.
+    """
     newest = latest_per_key(payees, ["id"], ties=["name"]).withColumnRenamed("scraped_on", "updated_at")
-    flagged = flags.select("payee_id", "is_unaccounted", "is_passive")
+    order = [oldest("payee_name"), newest_first("is_unaccounted"), newest_first("is_passive")]
+    flagged = first_per_key(flags, ["payee_id"], order).select("payee_id", "is_unaccounted", "is_passive")
     return newest.join(flagged, newest["id"] == flagged["payee_id"], "left").select(
         *newest.columns,
         F.coalesce("is_unaccounted", F.lit(False)).alias("is_unaccounted"),

@@ -26,16 +26,19 @@ def int_unique_transaction(transactions: DataFrame) -> DataFrame:
     return latest_per_key(transactions, ["id"], ties=["amount", "description"]).filter(~F.col("is_deleted"))
 
 
+def int_unique_subtransaction(subtransactions: DataFrame) -> DataFrame:
+    """Newest version of each part, deleted ones included."""
+    return latest_per_key(subtransactions, ["id"], ties=["super_id", "amount"])
+
+
 def int_split_transaction(
-    unique_transactions: DataFrame, subtransactions: DataFrame, drop_deleted_parts: bool = False
+    unique_transactions: DataFrame, unique_parts: DataFrame, drop_deleted_parts: bool = False
 ) -> DataFrame:
     """One row per transaction, or per part when a transaction is split.
 
     Parts point at their transaction's id or at the id of the transaction merged into it.
     """
-    parts = latest_per_key(subtransactions, ["id"], ties=["super_id", "amount"])
-    if drop_deleted_parts:
-        parts = parts.filter(~F.col("is_deleted"))
+    parts = unique_parts.filter(~F.col("is_deleted")) if drop_deleted_parts else unique_parts
     parts = parts.drop("is_deleted")
     split = either_key_left_join(
         unique_transactions, parts, "id", "matched_transaction_id", "super_id", prefix="part_"

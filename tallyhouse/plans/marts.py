@@ -5,16 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhouse.functions.keys import import_id
 from tallyhouse.functions.money import MONEY, MONEY_SUM, money_sum, to_milliunits
 from tallyhouse.operators.joins import anti_join, full_join, semi_join
 
-# Identities of one user's budget.
-INVESTMENT_GROUP = "4b8aa46d-bed8-4dba-bee5-d438640d2d9d"
-TRANSPORT_PAYEE = "0b849f31-3e30-4a00-8b49-053a8365133f"
-TRANSPORT_CATEGORY = "8efad1f9-ef85-45e4-a85e-74f0207dc2c1"
 YES, NO = "✔️", "❌"
 
 
@@ -112,7 +108,7 @@ CASH_FLOW_INPUT = (
 )
 
 
-def mart_cash_flow(dashboard: DataFrame, investment_group: str = INVESTMENT_GROUP) -> DataFrame:
+def mart_cash_flow(dashboard: DataFrame, investment_group: str) -> DataFrame:
     """Money flows per month as weighted edges (src, dest).
 
     The wide table is read once: it is first summed to (month, payee, group), and the
@@ -172,18 +168,29 @@ def split_totals(unique_transactions: DataFrame, transactions: DataFrame) -> Dat
     )
 
 
-def mart_uncleared(unique_transactions: DataFrame, bank_transactions: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Uncleared ledger entries beside bank entries since the last reconciliation.
+ENTRY = ["id", "date_id", "account_id", "description", "amount"]
+
+
+def uncleared_ledger(unique_transactions: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Uncleared whole transactions, and split ones put together again, from the split fact."""
+    amount = F.col("amount").cast(MONEY_SUM).alias("amount")
+    uncleared = F.col("clearing_status") == "uncleared"
+    whole = transactions.filter(uncleared & F.col("super_id").isNull()).select(*ENTRY[:-1], amount)
+    regrouped = split_totals(unique_transactions, transactions).filter(uncleared).select(*ENTRY[:-1], amount)
+    return whole.unionByName(regrouped)
 
-    Entries are possible matches when account and amount agree, so equal amounts give
-    every combination.
+
+def uncleared_sides(
+    unique_transactions: DataFrame, bank_transactions: DataFrame, accounts: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Uncleared ledger entries, and bank entries since the last reconciliation.
 
     A bank shows a split transaction as one entry, so the ledger side is whole
     transactions plus split ones put together again from their parts' owner. Every
     transaction is one or the other, and both give its own row: the ledger side is the
     uncleared transactions before splitting, without a pass over the fact.
     """
-    columns = ["id", "date_id", "account_id", "description", "amount"]
+    columns = ENTRY
     ledger = unique_transactions.filter(F.col("clearing_status") == "uncleared").select(
         "id", F.col("date").alias("date_id"), *columns[2:4], F.col("amount").cast(MONEY_SUM).alias("amount")
     )
@@ -193,6 +200,41 @@ def mart_uncleared(unique_transactions: DataFrame, bank_transactions: DataFrame,
         .filter(F.col("date_id").cast("timestamp_ntz") > F.col("last_reconciled_at"))
         .select(*columns[:-1], F.col("amount").cast(MONEY_SUM).alias("amount"))
     )
+    return ledger, bank
+
+
+def uncleared_pair_counts(ledger: DataFrame, bank: DataFrame) -> DataFrame:
+    """Rows of the uncleared mart per account and amount, without listing the pairs.
+
+    Entries are counted per side before they meet, so a frequent amount costs no more than a rare
+    one. Entries without an account or an amount match nothing.
+    """
+    sides = [
+        side.select("account_id", "amount", F.lit(own).alias("l"), F.lit(1 - own).alias("b"))
+        for side, own in ((ledger, 1), (bank, 0))
+    ]
+    n, m = F.col("n_ledger"), F.col("n_bank")
+    known = F.col("account_id").isNotNull() & F.col("amount").isNotNull()
+    return (
+        sides[0].unionAll(sides[1])
+        .groupBy("account_id", "amount")
+        .agg(F.sum("l").alias("n_ledger"), F.sum("b").alias("n_bank"))
+        .withColumn("n_rows", F.when(known & (n > 0) & (m > 0), n * m).otherwise(n + m))
+    )
+
+
+def mart_uncleared(ledger: DataFrame, bank: DataFrame, one_to_one: bool = False) -> DataFrame:
+    """Uncleared ledger entries beside bank entries since the last reconciliation.
+
+    Entries are possible matches when account and amount agree, so equal amounts give every
+    combination. With ``one_to_one`` an entry matches at most one: equal amounts of an account
+    are matched in the order of date and id.
+    """
+    keys = ["account_id", "amount"]
+    if one_to_one:
+        order = Window.partitionBy(*keys).orderBy(*(F.col(c).asc_nulls_last() for c in ("date_id", "id")))
+        ledger, bank = (side.withColumn("place", F.row_number().over(order)) for side in (ledger, bank))
+        keys = [*keys, "place"]
     sides = [
         side.withColumnsRenamed({c: f"{name}_{c}" for c in ("id", "date_id", "description")})
         for name, side in (("ledger", ledger), ("bank", bank))
@@ -201,7 +243,7 @@ def mart_uncleared(unique_transactions: DataFrame, bank_transactions: DataFrame,
     def mark(ident: str) -> Column:
         return F.when(F.col(ident).isNotNull(), F.lit(YES)).otherwise(F.lit(NO))
 
-    return full_join(*sides, ["account_id", "amount"]).select(
+    return full_join(*sides, keys).select(
         F.coalesce("ledger_date_id", "bank_date_id").alias("transaction_date"),
         F.coalesce("ledger_description", "bank_description").alias("transaction_description"),
         F.col("amount").alias("transaction_amount"),
@@ -213,8 +255,8 @@ def mart_uncleared(unique_transactions: DataFrame, bank_transactions: DataFrame,
 def mart_ledger_import(
     legs: DataFrame,
     transactions: DataFrame,
-    payee_id: str = TRANSPORT_PAYEE,
-    category_id: str = TRANSPORT_CATEGORY,
+    payee_id: str,
+    category_id: str,
 ) -> DataFrame:
     """Billed trip legs that the ledger has no entry for, as records ready for import.
 

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhouse.functions.dates import date_literal, month_start
-from tallyhouse.functions.money import money_sum, ratio
+from tallyhouse.functions.money import MONEY, MONEY_SUM, money_sum, ratio
 from tallyhouse.operators.series import (
     change_from_previous,
     latest_period,
@@ -39,7 +39,7 @@ class MetricSpec:
     compare_lag: int | None = None
     target: int | None = None  # adds progress towards it
     headline: bool = False  # newest period only
-    row_limit: int | None = None
+    row_limit: int | None = None  # the newest periods, or the largest values
     sort_by_value: bool = False
 
 
@@ -91,7 +91,8 @@ def run_metric(spec: MetricSpec, mart: DataFrame, as_of: dt.date) -> DataFrame:
         if spec.sort_by_value or not ties:
             out = top_k(out, "value", spec.row_limit, ties)
         else:
-            out = out.orderBy(*ties).limit(spec.row_limit)
+            newest_first = [F.desc(c) if c == "period" else F.asc(c) for c in ties]
+            out = out.orderBy(*newest_first).limit(spec.row_limit)
     return out
 
 
@@ -105,7 +106,12 @@ def absolute_total(column: str) -> Callable[[], Column]:
 
 
 def row_count() -> Column:
-    return F.count("*")
+    return F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint")
+
+
+def total_of_rows() -> Column:
+    times = F.col("n_rows").cast("decimal(18,0)")
+    return F.sum((F.col("amount").cast(MONEY) * times).cast(MONEY_SUM)).cast(MONEY_SUM)
 
 
 def saving_rate() -> Column:
@@ -144,7 +150,6 @@ FI_PROGRESS = MetricSpec(
     ("transaction_amount",),
     total("transaction_amount"),
     target=FINANCIAL_INDEPENDENCE,
-    row_limit=10,
 )
 ACTIVITY = MetricSpec(
     "dashboard",
@@ -178,8 +183,9 @@ CASH_FLOW = MetricSpec(
     row_limit=ROW_LIMIT,
     sort_by_value=True,
 )
-UNCLEARED_BALANCE = MetricSpec("uncleared", ("transaction_amount",), total("transaction_amount"))
-UNCLEARED_COUNT = MetricSpec("uncleared", (), row_count)
+# over the counts per account and amount, which say how often the mart would list an amount
+UNCLEARED_BALANCE = MetricSpec("uncleared", ("amount", "n_rows"), total_of_rows)
+UNCLEARED_COUNT = MetricSpec("uncleared", ("n_rows",), row_count)
 
 UNCLEARED_ROWS_LIMIT = 1_000
 UNCLEARED_COLUMNS = (

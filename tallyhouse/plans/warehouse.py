@@ -54,14 +54,16 @@ class Staging:
 
 @dataclass(frozen=True)
 class Options:
+    """``investment_group``, ``transport_payee`` and ``transport_category`` are ids of the user's own budget."""
+
     as_of: dt.date
+    investment_group: str
+    transport_payee: str
+    transport_category: str
     calendar_start: dt.date = dims.CALENDAR_START
     calendar_years_ahead: int = dims.CALENDAR_YEARS_AHEAD
     bank_vendor: str = dims.BANK_VENDOR
     opening_balance: str = "after"
-    investment_group: str = marts.INVESTMENT_GROUP
-    transport_payee: str = marts.TRANSPORT_PAYEE
-    transport_category: str = marts.TRANSPORT_CATEGORY
     metric_ranges: Mapping[str, tuple[dt.date, dt.date]] = field(default_factory=dict)
 
 
@@ -69,6 +71,8 @@ class Options:
 LOOKUPS = frozenset(
     {"int_mapped_account", "int_unique_budget_category", "dim_budget_category", "dim_payee"}
 )
+# Facts' inputs that their readers go through twice or more
+READ_AGAIN = frozenset({"int_unique_transaction", "int_unique_subtransaction", "int_enriched_bank_statement"})
 
 
 class Warehouse:
@@ -111,6 +115,13 @@ class Warehouse:
             "int_unique_transaction", lambda: facts.int_unique_transaction(self.staging.stg_transaction)
         )
 
+    @cached_property
+    def int_unique_subtransaction(self) -> DataFrame:
+        return self._table(
+            "int_unique_subtransaction",
+            lambda: facts.int_unique_subtransaction(self.staging.stg_subtransaction),
+        )
+
     @cached_property
     def int_unique_budget_category(self) -> DataFrame:
         return self._table(
@@ -138,7 +149,7 @@ class Warehouse:
     # ephemeral model: never stored, so that each reader computes only the columns it uses
     @cached_property
     def int_split_transaction(self) -> DataFrame:
-        return facts.int_split_transaction(self.int_unique_transaction, self.staging.stg_subtransaction)
+        return facts.int_split_transaction(self.int_unique_transaction, self.int_unique_subtransaction)
 
     # dimensions
     @cached_property
@@ -262,11 +273,26 @@ class Warehouse:
     def mart_uncleared(self) -> DataFrame:
         return self._table(
             "mart_uncleared",
-            lambda: marts.mart_uncleared(
-                self.int_unique_transaction, self.fact_vendor_transaction, self.int_mapped_account
-            ),
+            lambda: marts.mart_uncleared(*self._uncleared_sides()),
         )
 
+    def _uncleared_sides(self) -> tuple[DataFrame, DataFrame]:
+        return marts.uncleared_sides(
+            self.int_unique_transaction, self.fact_vendor_transaction, self.int_mapped_account
+        )
+
+    @property
+    def uncleared_pair_counts(self) -> DataFrame:
+        return marts.uncleared_pair_counts(*self._uncleared_sides())
+
+    @property
+    def uncleared_one_to_one(self) -> DataFrame:
+        return marts.mart_uncleared(*self._uncleared_sides(), one_to_one=True)
+
+    @property
+    def uncleared_ledger(self) -> DataFrame:
+        return marts.uncleared_ledger(self.int_unique_transaction, self.int_split_transaction)
+
     @cached_property
     def mart_ledger_import(self) -> DataFrame:
         o = self.options
@@ -282,14 +308,19 @@ class Warehouse:
 
     # metrics
     def metric(self, name: str, as_of: dt.date | None = None, **changes) -> DataFrame:
-        """A dashboard metric by name; ``changes`` replace fields of its definition."""
+        """A dashboard metric by name; ``changes`` replace fields of its definition.
+
+        A time range in the warehouse's options replaces the metric's own.
+        """
         spec = metrics.METRICS[name]
+        if name in self.options.metric_ranges:
+            changes = {"time_range": self.options.metric_ranges[name], **changes}
         if changes:
             spec = metrics.MetricSpec(**{**vars(spec), **changes})
         mart = {
             "dashboard": lambda: self.dashboard(spec.reads),
             "cash_flow": lambda: self.mart_cash_flow,
-            "uncleared": lambda: self.mart_uncleared,
+            "uncleared": lambda: self.uncleared_pair_counts,
         }[spec.source]()
         return metrics.run_metric(spec, mart, as_of or self.options.as_of)
 

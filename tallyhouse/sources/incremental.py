@@ -10,15 +10,19 @@ from tallyhouse.functions.dates import date_literal
 from tallyhouse.operators.dedupe import latest_per_key
 
 
-def high_water_mark(landed: DataFrame, column: str) -> int:
-    """Largest mark landed so far; 0 (so a full load) when nothing has landed."""
-    return landed.agg(F.coalesce(F.max(column), F.lit(0))).first()[0]
+def high_water_mark(landed: DataFrame, column: str) -> int | None:
+    """Largest mark landed so far; None when nothing has landed."""
+    return landed.agg(F.max(column)).first()[0]
 
 
 def newer_than(snapshots: DataFrame, column: str, landed: DataFrame) -> DataFrame:
-    """Snapshots beyond the landed mark. The mark is one number, so it becomes a literal
-    that the scan can push down."""
-    return snapshots.filter(F.col(column) > high_water_mark(landed, column))
+    """Snapshots beyond the landed mark, or all of them when nothing has landed.
+
+    A snapshot without a mark can't be told to be old, so it counts as new. The mark is one
+    number, so it becomes a literal that the scan can push down.
+    """
+    mark = high_water_mark(landed, column)
+    return snapshots if mark is None else snapshots.filter((F.col(column) > mark) | F.col(column).isNull())
 
 
 def late_window(df: DataFrame, column: str, start: dt.date, days: int = 3) -> DataFrame:

@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tallyhouse.session import scratch_dir
+from tallyhouse.sources.incremental import merge_days
+
 
 def file_stream(
     spark: SparkSession,
@@ -44,6 +47,41 @@ def without_repeats(
     )
 
 
+def land_newest(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    day: str,
+    version: str,
+    ties: Sequence[str] = (),
+) -> None:
+    """Keep the newest version per key at ``path``, partitioned by ``day``, until the stream has no more.
+
+    A batch rewrites the days that it touches, however late they come. The merged days are
+    written aside before they replace what they were read from, and a batch that is run again
+    finds its own rows and changes nothing.
+    """
+    spark, schema = stream.sparkSession, stream.schema
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        current = spark.read.schema(schema).parquet(path)
+        merged = merge_days(current, batch, list(keys), day, version, list(ties))
+        aside = scratch_dir(spark, "merge")
+        merged.write.parquet(aside)
+        written = spark.read.schema(schema).parquet(aside)
+        _days(written, day).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+    _days(spark.createDataFrame([], schema), day).mode("append").parquet(path)  # a first batch has something to read
+    stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+
+
+def _days(df: DataFrame, day: str) -> DataFrameWriter:
+    return df.repartition(day).write.partitionBy(day)
+
+
 def land(
     stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
 ) -> None:

@@ -1,6 +1,7 @@
 """Models on hand-made rows, and the wiring of the warehouse."""
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -197,7 +198,7 @@ def test_cash_flow_edges(spark, rows):
 
 def test_cash_flow_from_savings(spark, rows):
     df = dashboard_rows(spark, ("Boss", "U", None, True, False, 10), ("Shop", "Food", "g1", True, False, -30))
-    got = [(s, d, float(a)) for s, d, a in rows(marts.mart_cash_flow(df), "src", "dest", "amount")]
+    got = [(s, d, float(a)) for s, d, a in rows(marts.mart_cash_flow(df, "gi"), "src", "dest", "amount")]
     assert got == [
         ("Boss", "Income", 10),
         ("Income", "Spending", 10),
@@ -208,7 +209,7 @@ def test_cash_flow_from_savings(spark, rows):
 
 def test_cash_flow_reads_the_wide_table_once(spark):
     df = dashboard_rows(spark, ("Boss", "U", None, True, False, 10))
-    text = marts.mart_cash_flow(df)._jdf.queryExecution().executedPlan().toString()
+    text = marts.mart_cash_flow(df, "gi")._jdf.queryExecution().executedPlan().toString()
     assert text.count("Scan ExistingRDD") + text.count("LocalTableScan") == 1
 
 
@@ -228,24 +229,29 @@ def test_uncleared_marks_and_combinations(spark, rows):
     accounts = spark.createDataFrame(
         [("a1", dt.datetime(2024, 3, 1)), ("a2", None)], "id string, last_reconciled_at timestamp_ntz"
     )
-    out = marts.mart_uncleared(unique, bank, accounts)
+    sides = marts.uncleared_sides(unique, bank, accounts)
+    out = marts.mart_uncleared(*sides)
     assert rows(out, "transaction_description", "in_accounting", "in_vendor") == [
         ("l1", "✔️", "✔️"),
         ("l2", "✔️", "✔️"),
         ("l3", "✔️", "❌"),
         ("shop", "❌", "✔️"),
     ]
+    counts = marts.uncleared_pair_counts(*sides)
+    assert rows(counts, "amount", "n_ledger", "n_bank", "n_rows") == [
+        (Decimal("-2.0000000"), 2, 1, 2), (Decimal("-7.0000000"), 1, 0, 1), (Decimal("-8.0000000"), 0, 1, 1),
+    ]
+    assert rows(marts.mart_uncleared(*sides, one_to_one=True), "transaction_description", "in_accounting", "in_vendor") == [
+        ("l1", "✔️", "✔️"), ("l2", "✔️", "❌"), ("l3", "✔️", "❌"), ("shop", "❌", "✔️"),
+    ]
 
 
 def test_uncleared_ledger_side_equals_whole_plus_split(spark, rows):
     """The short form used by the mart gives the rows of the long one."""
     w = adapters.warehouse(spark, SF)
     columns = ["id", "date_id", "account_id", "description", "amount"]
-    fact = w.fact_accounting_transaction
-    whole = fact.filter("clearing_status = 'uncleared' and super_id is null").select(columns)
-    split = marts.split_totals(w.int_unique_transaction, fact).filter("clearing_status = 'uncleared'").select(columns)
     short = w.int_unique_transaction.filter("clearing_status = 'uncleared'").withColumnRenamed("date", "date_id")
-    long_rows = [(*r[:4], float(r[4])) for r in rows(whole.unionByName(split))]
+    long_rows = [(*r[:4], float(r[4])) for r in rows(w.uncleared_ledger, *columns)]
     assert sorted(long_rows) == sorted((*r[:4], float(r[4])) for r in rows(short, *columns))
 
 
@@ -258,7 +264,7 @@ def test_ledger_import_skips_entered_trips(spark, rows):
          "cost_sgd": F.lit("1.2345").cast("decimal(18,7)"), "source": F.lit("A"), "destination": F.lit("B")}
     )
     entered = spark.createDataFrame([("ref-1",), (None,)], "description string")
-    out = marts.mart_ledger_import(legs, entered)
+    out = marts.mart_ledger_import(legs, entered, "p9", "c9")
     assert rows(out, "split_memo", "amount", "memo", "split_id", "flag_color") == [
         ("ref-2", -1235, "A -> B", "public_transport:ref-2", None)
     ]
@@ -322,3 +328,36 @@ def test_metric_filter_reaches_the_scan_of_a_stored_mart(spark, tmp_path):
 def test_scratch_is_below_the_named_checkpoint_dir(spark):
     root = ensure_checkpoint_dir(spark)
     assert scratch_dir(spark, "x").startswith(root)
+
+
+def test_metrics_are_the_mart_s_with_repeated_seed_rows(spark, rows):
+    """A second map row of an account, or flag row of a payee, changes neither way of computing."""
+    plain = adapters.warehouse(spark, SF)
+
+    def doubled(**kwargs):
+        w = adapters.warehouse(spark, SF, **kwargs)
+        again = w.staging.account_map.withColumn("vendor_id", F.concat("vendor_id", F.lit("x")))
+        w.staging.account_map = w.staging.account_map.unionByName(again)
+        w.staging.payee_flag = w.staging.payee_flag.unionByName(w.staging.payee_flag)
+        return w
+
+    store = TableStore(spark, scratch_dir(spark, "doubled"))
+    for name in ("net_worth", "cash", "income"):
+        want = rows(plain.metric(name))
+        assert rows(doubled().metric(name)) == want
+        assert rows(doubled(store=store).metric(name)) == want
+
+
+def test_activity_keeps_the_newest_days(spark, rows):
+    days = [(dt.date(2024, 1, d), Decimal(d)) for d in range(1, 8)]
+    df = spark.createDataFrame(days, "transaction_date date, transaction_amount decimal(18,7)")
+    spec = metrics.MetricSpec(**{**vars(metrics.ACTIVITY), "time_range": None, "row_limit": 3, "rolling": 2})
+    got = rows(metrics.run_metric(spec, df, dt.date(2024, 2, 1)), "period", "value")
+    assert got == [(dt.date(2024, 1, d), d - 0.5) for d in (5, 6, 7)]
+
+
+def test_a_time_range_in_the_options_counts(spark, rows):
+    w = adapters.warehouse(spark, SF)
+    day = (dt.date(1996, 1, 1), dt.date(1996, 3, 1))
+    w.options = replace(w.options, metric_ranges={"income": day})
+    assert [r[0] for r in rows(w.metric("income"), "period")] == [dt.date(1996, 1, 1), dt.date(1996, 2, 1)]

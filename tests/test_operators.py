@@ -196,28 +196,28 @@ GRID = [
     (0, "title", None, None, None, None),
     (1, None, None, None, None, None),
     (2, "Company:", "dropped", None, None, None),
-    (3, "Account Number:", "123456789", "SGD", None, None),
-    (4, "Account Type:", "Test Account", None, None, None),
-    (5, "Statement Period:", "06 Feb 2023 To 07 Apr 2023", None, None, None),
+    (3, "Account Number:", "77-0042", "SGD", None, None),
+    (4, "Account Type:", "Household", None, None, None),
+    (5, "Statement Period:", "01 Jan 2022 To 31 Mar 2022", None, None, None),
     (6, "Transaction Date", "Transaction Description", "Withdrawal", "Deposit", "Available Balance"),
-    (7, "06 Apr 2023", "Placeholder Description", "5.0", "5.0", "2000.0"),
-    (8, "04 Apr 2023", "Placeholder Description", "5.0", None, "2000.0"),
+    (7, "30 Mar 2022", "Refund and rebooking", "12.5", "80.25", "913.4"),
+    (8, "11 Jan 2022", "Bakery", "3.75", None, "845.65"),
 ]
 GRID_SCHEMA = "file string, row_no bigint, c0 string, c1 string, c2 string, c3 string, c4 string"
 
 
-def grid(spark, cells, file="ACC_TXN_History_08042023.xls"):
+def grid(spark, cells, file="ACC_TXN_History_01042022.xls"):
     return spark.createDataFrame([(file, *row) for row in cells], GRID_SCHEMA)
 
 
 def test_sheets_to_rows(spark, rows):
     swapped = [(n, a, b, d, c, e) if n >= 6 else (n, a, b, c, d, e) for n, a, b, c, d, e in GRID]
-    both = grid(spark, GRID).unionByName(grid(spark, swapped, "ACC_TXN_History_09042023.xls"))
+    both = grid(spark, GRID).unionByName(grid(spark, swapped, "ACC_TXN_History_02042022.xls"))
     out = reports.extract_sheets(both)
-    meta = ("123456789", "Test Account", "06 Feb 2023 To 07 Apr 2023", "SGD")
+    meta = ("77-0042", "Household", "01 Jan 2022 To 31 Mar 2022", "SGD")
     want = [
-        ("06 Apr 2023", "Placeholder Description", 5.0, 5.0, 2000.0, *meta),
-        ("04 Apr 2023", "Placeholder Description", 5.0, None, 2000.0, *meta),
+        ("30 Mar 2022", "Refund and rebooking", 12.5, 80.25, 913.4, *meta),
+        ("11 Jan 2022", "Bakery", 3.75, None, 845.65, *meta),
     ]
     assert out.columns == [
         "file", "Transaction Date", "Transaction Description", "Withdrawal", "Deposit", "Available Balance",
@@ -232,13 +232,6 @@ def test_sheet_without_a_column_fails(spark):
         reports.extract_sheets(grid(spark, cells)).collect()
 
 
-def test_promote_header(spark, rows):
-    df = spark.createDataFrame([(0, 1, 2), (1, 3, 4)], "row_no int, a int, b int")
-    out = reports.promote_header(df)
-    assert out.columns == ["row_no", "1", "2"]
-    assert rows(out) == [(1, 3, 4)]
-
-
 # --- checks
 
 

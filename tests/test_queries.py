@@ -37,7 +37,7 @@ def test_either_key_match_in_its_or_form(spark, con):
            on s.super_id = t.id or s.super_id = t.matched_transaction_id"""
     )
     assert literal == ids(
-        """select t.id, m.part from int_unique_transaction t left join split_match m on m.parent = t.id"""
+        """select t.id, m.id from int_unique_transaction t left join part_owner m on m.owner = t.id"""
     )
 
 

@@ -46,3 +46,29 @@ def test_repeats_within_the_window_are_dropped(spark, rows, tmp_path):
     put(spark, source, "second", ("a", at(10), 1, 1), ("late", at(9), 1, 3), ("c", at(11), 1, 4))
     run()
     assert rows(spark.read.parquet(out), "id", "v") == [("a", 1), ("b", 2), ("c", 4), ("late", 3)]
+
+
+def test_newest_wins_over_late_batches(spark, rows, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "id string, day date, scraped_on int, v int"
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+
+    def arrive(name, *data):
+        spark.createDataFrame(list(data), schema).coalesce(1).write.parquet(f"{source}/{name}")
+        stream = snapshots.file_stream(spark, f"{source}/*", schema, max_files=1)
+        snapshots.land_newest(stream, out, state, ["id"], "day", "scraped_on")
+        return rows(spark.read.parquet(out), "id", "day", "v")
+
+    assert arrive("first", ("a", d1, 2, 1), ("b", d2, 2, 2)) == [("a", d1, 1), ("b", d2, 2)]
+    assert arrive("late", ("a", d1, 1, 9), ("c", d1, 1, 3)) == [("a", d1, 1), ("b", d2, 2), ("c", d1, 3)]
+    assert arrive("newer", ("a", d1, 3, 4)) == [("a", d1, 4), ("b", d2, 2), ("c", d1, 3)]
+    assert arrive("again", ("a", d1, 3, 4)) == [("a", d1, 4), ("b", d2, 2), ("c", d1, 3)]  # a batch run twice
+
+
+def test_streams_read_tables_of_one_file_or_many(spark, tmp_path):
+    from workload.queries import QUERIES
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_landing", "stream_exact_repeats"):
+        assert QUERIES[name](spark, str(tmp_path)).count() == events.count()

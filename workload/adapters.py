@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tallyhouse.functions.dates import month_start, ts_literal
 from tallyhouse.functions.money import MONEY
 from tallyhouse.functions.text import blank_to_null
-from tallyhouse.plans.warehouse import LOOKUPS, Options, Staging, Warehouse
+from tallyhouse.plans.warehouse import LOOKUPS, READ_AGAIN, Options, Staging, Warehouse
 from tallyhouse.session import scratch_dir
 from tallyhouse.sources.lake import TableStore
 
@@ -32,20 +32,9 @@ OPTIONS = Options(
 )
 
 
-# Tables whose rows get hashed, exploded or sorted right after the scan, with their natural keys
-NATURAL_KEYS = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_partkey"], "events": ["event_id"]}
-
-
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A test table.
-
-    A single file with few row groups is read by few tasks. Such a table is spread over the
-    cores; a table of many files is scanned in many splits and left as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    if table in NATURAL_KEYS and len(df.inputFiles()) == 1:
-        return df.repartition(spark.sparkContext.defaultParallelism, *NATURAL_KEYS[table])
-    return df
+    """A test table, one file or many."""
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def _id(prefix: str, number: Column) -> Column:
@@ -333,4 +322,4 @@ def warehouse(spark: SparkSession, sf_dir: str, **kwargs) -> Warehouse:
 def with_lookups(spark: SparkSession, sf_dir: str, also: Collection[str] = ()) -> Warehouse:
     """A warehouse whose lookup tables, and models read several times, are written before use."""
     store = TableStore(spark, scratch_dir(spark, "models"))
-    return warehouse(spark, sf_dir, store=store, stored=LOOKUPS | set(also))
+    return warehouse(spark, sf_dir, store=store, stored=LOOKUPS | READ_AGAIN | set(also))

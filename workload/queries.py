@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import cache, partial
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -68,6 +68,7 @@ _MODELS = {
     "mart_cash_flow": "mart_cash_flow",
     "mart_uncleared": "mart_uncleared",
     "mart_ledger_sink": "mart_ledger_import",
+    "uncleared_ledger": "uncleared_ledger",
 }
 
 
@@ -169,6 +170,29 @@ _metric(
 _metric("metric_uncleared_count", "uncleared_count", "select count(*) as value from mart_uncleared")
 
 
+@query(
+    """select account_id, amount, n_ledger, n_bank,
+              case when n_ledger > 0 and n_bank > 0 then n_ledger * n_bank else n_ledger + n_bank end as n_rows
+       from uncleared_counts"""
+)
+def uncleared_pair_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """How often the uncleared mart lists an account and amount."""
+    return adapters.with_lookups(spark, sf, RECONCILED).uncleared_pair_counts
+
+
+@query(
+    """select coalesce(l.date_id, b.date_id) as transaction_date,
+              coalesce(l.description, b.description) as transaction_description,
+              coalesce(l.amount, b.amount) as transaction_amount,
+              if(l.id is null, '❌', '✔️') as in_accounting, if(b.id is null, '❌', '✔️') as in_vendor
+       from (select * from uncleared_entries where own) l
+       full join (select * from uncleared_entries where not own) b using (account_id, amount, place)"""
+)
+def uncleared_one_to_one(spark: SparkSession, sf: str) -> DataFrame:
+    """Uncleared entries, each matched at most once."""
+    return adapters.with_lookups(spark, sf, RECONCILED).uncleared_one_to_one
+
+
 @query(
     """select transaction_date, transaction_description, transaction_amount, in_accounting, in_vendor
        from mart_uncleared order by all limit 1000"""
@@ -245,15 +269,13 @@ def dim_date(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """select t.id, t.matched_transaction_id, t.amount, s.id as part_id, s.super_id as part_super_id,
-              s.amount as part_amount
-       from int_unique_transaction t
-       left join split_match m on m.parent = t.id
-       left join unique_subtransaction s on s.id = m.part"""
+    """select t.id, t.matched_transaction_id, t.amount, p.id as part_id, p.super_id as part_super_id,
+              p.amount as part_amount
+       from int_unique_transaction t left join part_owner p on p.owner = t.id"""
 )
 def or_key_join(spark: SparkSession, sf: str) -> DataFrame:
-    transactions = facts.int_unique_transaction(adapters.stg_transaction(spark, sf))
-    parts = dedupe.latest_per_key(adapters.stg_subtransaction(spark, sf), ["id"], ties=["super_id", "amount"])
+    w = adapters.with_lookups(spark, sf)
+    transactions, parts = w.int_unique_transaction, w.int_unique_subtransaction
     return joins.either_key_left_join(
         transactions.select("id", "matched_transaction_id", "amount"),
         parts.select("id", "super_id", "amount"),
@@ -268,12 +290,12 @@ def or_key_join(spark: SparkSession, sf: str) -> DataFrame:
     f"""select t.id, t.date as date_id, t.account_id, t.description, t.clearing_status,
                cast(sum(t.amount) as {oracle.SUM}) as amount
         from int_unique_transaction t
-        join (select distinct super_id from fact_accounting_transaction) s on s.super_id = t.id
+        where exists (select 1 from part_owner where owner = t.id)
         group by all"""
 )
 def split_totals(spark: SparkSession, sf: str) -> DataFrame:
     """Semi join of transactions with the parents of parts, one row each."""
-    w = adapters.warehouse(spark, sf)
+    w = adapters.with_lookups(spark, sf)
     return marts.split_totals(w.int_unique_transaction, w.int_split_transaction)
 
 
@@ -394,13 +416,11 @@ def stg_category_group(spark: SparkSession, sf: str) -> DataFrame:
     return _through_documents(spark, rows, "category_groups", entry, staging.stg_category_group)
 
 
-@query("select * from stg_budget_category")
-def stg_budget_category(spark: SparkSession, sf: str) -> DataFrame:
-    """Categories below months, two levels deep, with goal codes turned into labels."""
+def _category_entry() -> Column:
     code = F.lit(None).cast("string")
     for key, label in staging.GOAL_LABELS.items():
         code = F.when(F.col("goal_type") == label, key).otherwise(code)
-    category = F.struct(
+    return F.struct(
         "id",
         "category_group_id",
         "name",
@@ -410,15 +430,19 @@ def stg_budget_category(spark: SparkSession, sf: str) -> DataFrame:
         F.col("goal_due").cast("string").alias("goal_target_month"),
         F.col("is_deleted").alias("deleted"),
     )
-    month = F.struct(F.col("budget_month").cast("string").alias("month"), F.array(category).alias("categories"))
+
+
+@query("select * from stg_budget_category")
+def stg_budget_category(spark: SparkSession, sf: str) -> DataFrame:
+    """Categories below months, two levels deep, with goal codes turned into labels."""
+    month = F.struct(F.col("budget_month").cast("string").alias("month"), F.array(_category_entry()).alias("categories"))
     rows = adapters.stg_budget_category(spark, sf)
     return _through_documents(spark, rows, "months", month, staging.stg_budget_category)
 
 
-@query("select * from stg_transaction")
-def stg_transaction(spark: SparkSession, sf: str) -> DataFrame:
+def _transaction_entry() -> Column:
     c = F.col
-    entry = F.struct(
+    return F.struct(
         "id",
         c("date").cast("string").alias("date"),
         _milliunits("amount").alias("amount"),
@@ -432,14 +456,17 @@ def stg_transaction(spark: SparkSession, sf: str) -> DataFrame:
         "matched_transaction_id",
         c("is_deleted").alias("deleted"),
     )
+
+
+@query("select * from stg_transaction")
+def stg_transaction(spark: SparkSession, sf: str) -> DataFrame:
     rows = adapters.stg_transaction(spark, sf)
-    return _through_documents(spark, rows, "transactions", entry, staging.stg_transaction)
+    return _through_documents(spark, rows, "transactions", _transaction_entry(), staging.stg_transaction)
 
 
-@query("select * from stg_subtransaction")
-def stg_subtransaction(spark: SparkSession, sf: str) -> DataFrame:
+def _subtransaction_entry() -> Column:
     c = F.col
-    entry = F.struct(
+    return F.struct(
         "id",
         c("super_id").alias("transaction_id"),
         _milliunits("amount").alias("amount"),
@@ -449,8 +476,73 @@ def stg_subtransaction(spark: SparkSession, sf: str) -> DataFrame:
         "transfer_account_id",
         c("is_deleted").alias("deleted"),
     )
+
+
+@query("select * from stg_subtransaction")
+def stg_subtransaction(spark: SparkSession, sf: str) -> DataFrame:
     rows = adapters.stg_subtransaction(spark, sf)
-    return _through_documents(spark, rows, "subtransactions", entry, staging.stg_subtransaction)
+    return _through_documents(spark, rows, "subtransactions", _subtransaction_entry(), staging.stg_subtransaction)
+
+
+DOCUMENT_ORDERS = 32  # order keys that share a document
+
+
+def _order_documents(spark: SparkSession, sf: str) -> str:
+    """Documents of two budgets, each with the transactions and parts of some orders, one per line.
+
+    Arrays hold none, one or many entries; of odd documents an empty one is left out. A document is
+    bounded by its order keys.
+    """
+    c = F.col
+
+    def rows(table: DataFrame, order: Column, entry: Column, name: str) -> DataFrame:
+        group = F.floor(order / DOCUMENT_ORDERS).alias("g")
+        return table.select(group, "scraped_on", entry.alias(name))
+
+    number = F.regexp_extract("id", "[0-9]+", 0).cast("bigint")
+    parent = F.regexp_extract("super_id", "[0-9]+", 0).cast("bigint")
+    entries = rows(adapters.stg_transaction(spark, sf), number, _transaction_entry(), "t").unionByName(
+        rows(adapters.stg_subtransaction(spark, sf), parent, _subtransaction_entry(), "p"), allowMissingColumns=True
+    )
+    arrays = entries.groupBy("g", "scraped_on").agg(
+        F.collect_list("t").alias("transactions"), F.collect_list("p").alias("subtransactions")
+    )
+    shown = [F.when((F.size(a) > 0) | (c("g") % 2 == 0), c(a)).alias(a) for a in ("transactions", "subtransactions")]
+    fields = [F.concat(F.lit("b"), c("g") % 2).alias("id"), *shown]
+    document = F.struct(F.struct(*fields).alias("budget"), c("g").alias("server_knowledge"))
+    root = scratch_dir(spark, "budget")
+    documents = arrays.select(document.alias("data"), c("scraped_on").cast("date").alias("date"))
+    documents.write.partitionBy("date").json(f"{root}/by={lake.BUDGET_SOURCE}")
+    return root
+
+
+@query(
+    """select * replace ('b' || (cast(substr(id, 2) as bigint) // 32) % 2 as budget_id) from stg_transaction"""
+)
+def documents_to_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    root = _order_documents(spark, sf)
+    return staging.stg_transaction(budget.read_budget(spark, root, "transactions", lines=True))
+
+
+@query("select * from stg_subtransaction")
+def documents_to_parts(spark: SparkSession, sf: str) -> DataFrame:
+    root = _order_documents(spark, sf)
+    return staging.stg_subtransaction(budget.read_budget(spark, root, "subtransactions", lines=True))
+
+
+@query("select * from stg_budget_category")
+def documents_to_months(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of a year, with months, with categories; one per file, over several lines."""
+    rows = adapters.stg_budget_category(spark, sf).select("budget_month", "scraped_on", _category_entry().alias("entry"))
+    months = rows.groupBy("budget_month", "scraped_on").agg(F.collect_list("entry").alias("categories"))
+    month = F.struct(F.col("budget_month").cast("string").alias("month"), "categories")
+    years = months.groupBy(F.year("budget_month").alias("year"), "scraped_on").agg(F.collect_list(month).alias("months"))
+    fields = [F.lit("b0").alias("id"), F.col("months")]
+    document = F.struct(F.struct(F.struct(*fields).alias("budget"), F.lit(1).cast("bigint").alias("server_knowledge")).alias("data"))
+    text = years.select(F.to_json(document, {"pretty": "true"}).alias("value"), F.col("scraped_on").cast("date").alias("date"))
+    root = scratch_dir(spark, "budget")
+    text.write.partitionBy("date").option("maxRecordsPerFile", 1).text(f"{root}/by={lake.BUDGET_SOURCE}")
+    return staging.stg_budget_category(budget.read_budget(spark, root, "months"))
 
 
 @query("select * from stg_card")
@@ -605,6 +697,70 @@ def report_sections(spark: SparkSession, sf: str) -> DataFrame:
     return staging.stg_statement(statements.stage_statements(_sheets(spark, sf)))
 
 
+BANK_SQL = SQL["report_sections"]
+
+
+@query(BANK_SQL)
+def bank_lake_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Sheets to rows, staged in the lake by day of the export, read back and typed."""
+    root = scratch_dir(spark, "bank")
+    rows = statements.stage_statements(_sheets(spark, sf))
+    lake.stage_snapshots(rows, root, lake.BANK_SOURCE)
+    return staging.stg_statement(lake.read_parquet_snapshots(spark, root, lake.BANK_SOURCE))
+
+
+@query(
+    """select event_id, user_id, value + 2 as value, timestamp '2024-02-01 18:00:00' as scraped_at from events
+       where event_id % 3 = 0
+       union all select event_id, user_id, value + 1, timestamp '2024-02-01 09:00:00' from events where event_id % 3 = 1
+       union all select event_id, user_id, value, timestamp '2024-01-31 09:00:00' from events where event_id % 3 = 2"""
+)
+def landed_snapshots_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """Three scrapes, two of them on one day, landed one after the other; the newest version of each counts."""
+    root = scratch_dir(spark, "landed")
+    events = adapters.load(spark, sf, "events").select("event_id", "user_id", "value")
+    scrapes = [("2024-02-01 18:00:00", 2, "event_id % 3 = 0"), ("2024-01-31 09:00:00", 0, "true"), ("2024-02-01 09:00:00", 1, "event_id % 3 < 2")]
+    for at, add, which in scrapes:
+        scrape = events.filter(which).withColumn("value", F.col("value") + add)
+        lake.land_snapshots(scrape.withColumn("scraped_at", F.lit(at).cast("timestamp_ntz")), root, "events")
+    landed = lake.read_parquet_snapshots(spark, root, "events")
+    return dedupe.latest_per_key(landed, ["event_id"], "scraped_at").select("event_id", "user_id", "value", "scraped_at")
+
+
+@query(
+    """with days as (select c_custkey, date '1998-01-01' + cast(c_custkey % 28 as integer) * 13 as day from customer)
+       select c_custkey, cast(day as date) as date from days where day = (select max(day) from days)"""
+)
+def newest_export_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of the newest export out of the files of a folder, found by their paths."""
+    root = scratch_dir(spark, "exports")
+    key = F.col("c_custkey")
+    day = F.date_add(F.lit("1998-01-01").cast("date"), (key % 28 * 13).cast("int"))
+    named = F.concat(F.lit("ACC_TXN_History_"), F.date_format(day, "ddMMyyyy"), F.lit(".xls"))
+    adapters.load(spark, sf, "customer").select("c_custkey", named.alias("export")).write.partitionBy("export").parquet(root)
+    folder = F.regexp_extract("_metadata.file_path", "[^/=]+[.]xls", 0).alias("file")
+    files = spark.read.parquet(root).select(folder, "c_custkey")
+    return statements.newest_export(files).select("c_custkey", "date")
+
+
+@query(
+    """select 'account' as seed, budget_account_id as id, vendor, vendor_id from account_map
+       union all select 'card', bank_card_id, vendor, vendor_id from card_map"""
+)
+def seed_maps(spark: SparkSession, sf: str) -> DataFrame:
+    """Both map seeds, written as CSV and read with declared types."""
+    out = []
+    for name, rows, schema in (
+        ("account", adapters.account_map(spark, sf), seeds.ACCOUNT_MAP),
+        ("card", adapters.card_map(spark, sf), seeds.CARD_MAP),
+    ):
+        root = scratch_dir(spark, "seed")
+        rows.write.option("header", True).csv(root)
+        seed = seeds.read_seed(spark, root, schema)
+        out.append(seed.select(F.lit(name).alias("seed"), F.col(seed.columns[0]).alias("id"), "vendor", "vendor_id"))
+    return out[0].union(out[1])
+
+
 @query(
     """select 'exports/ACC_TXN_History_' || strftime(day, '%d%m%Y') || lpad(cast(c_custkey as varchar), 12, '0')
               || '.xls' as file, day as date, c_custkey
@@ -667,7 +823,6 @@ def late_window(spark: SparkSession, sf: str) -> DataFrame:
 # --- checks -----------------------------------------------------------------
 
 
-@cache
 def _built(spark: SparkSession, sf: str) -> Warehouse:
     """A warehouse whose models are stored, as checks run on built tables."""
     return adapters.warehouse(spark, sf, store=lake.TableStore(spark, scratch_dir(spark, "warehouse")))
@@ -733,21 +888,41 @@ def dq_reconcile(spark: SparkSession, sf: str) -> DataFrame:
 # --- streaming --------------------------------------------------------------
 
 
+def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The table of events as a stream of its files: one, or those of a folder.
+
+    A pattern may stand for either; a plain path would have to be a folder.
+    """
+    return snapshots.file_stream(spark, f"{sf}/[e]vents.parquet", adapters.load(spark, sf, "events").schema, "*.parquet")
+
+
 @query(oracle.latest("stg_trip_leg", "trip_id"))
 def stream_landing(spark: SparkSession, sf: str) -> DataFrame:
     """New snapshot files picked up by a stream and landed; readers take the newest version."""
-    raw = snapshots.file_stream(spark, sf, adapters.load(spark, sf, "events").schema, "events.parquet")
-    legs = adapters.trip_legs(raw)
+    legs = adapters.trip_legs(_event_stream(spark, sf))
     root = scratch_dir(spark, "stream")
     snapshots.land(legs, f"{root}/out", f"{root}/state")
-    return dedupe.latest_per_key(spark.read.parquet(f"{root}/out"), ["trip_id"])
+    landed = spark.read.schema(legs.schema).parquet(f"{root}/out")
+    return dedupe.latest_per_key(landed, ["trip_id"])
 
 
 @query("select event_id, ts, user_id, value from events")
 def stream_exact_repeats(spark: SparkSession, sf: str) -> DataFrame:
     """A stream in which every event is delivered twice, within the window for late data."""
-    raw = snapshots.file_stream(spark, sf, adapters.load(spark, sf, "events").schema, "events.parquet")
+    raw = _event_stream(spark, sf)
     twice = raw.select("event_id", "ts", "user_id", "value", F.explode(F.array(F.lit(1), F.lit(2)))).drop("col")
     root = scratch_dir(spark, "stream")
     snapshots.land(snapshots.without_repeats(twice, "ts", ["event_id"]), f"{root}/out", f"{root}/state")
-    return spark.read.parquet(f"{root}/out").select("event_id", "ts", "user_id", "value")
+    return spark.read.schema(twice.schema).parquet(f"{root}/out").select("event_id", "ts", "user_id", "value")
+
+
+@query(oracle.latest("stg_trip_leg", "trip_id"))
+def stream_newest_wins(spark: SparkSession, sf: str) -> DataFrame:
+    """Scrapes that arrive in several batches; each batch rewrites the days that it touches."""
+    root = scratch_dir(spark, "stream")
+    legs = adapters.stg_trip_leg(spark, sf).withColumn("day", F.to_date("traveled_on"))
+    # each file is a batch; which versions of a leg come first is left to chance
+    legs.repartition(4, F.xxhash64("trip_id", "scraped_on")).write.parquet(f"{root}/in")
+    arriving = snapshots.file_stream(spark, f"{root}/in", legs.schema, max_files=1)
+    snapshots.land_newest(arriving, f"{root}/out", f"{root}/state", ["trip_id"], "day", "scraped_on")
+    return spark.read.schema(legs.schema).parquet(f"{root}/out").drop("day")
