@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from llm.tables import runs, shuffle_partitions
@@ -21,6 +22,7 @@ from llm.words import Block, blocks, byte_hashes, mix
 
 CHAIN = 2
 LEAST = 0.01  # likeness below which lengths that far apart count as 0
+SLICE_BYTES = 1 << 21  # of text that is compared at once
 SKETCH = 16  # smallest signatures shown in a fingerprint
 
 # fixed values: common words of English, German, French and Spanish
@@ -106,14 +108,23 @@ _RESULT = (
 )
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a bucket in order, each against its edited text and the next row; guests come last."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, int]]:
+    """Rows of a bucket in order, some at a time: those to compare, and the one that follows; guests come last."""
     for t in runs(batches, "bucket"):
         t = t.combine_chunks()
+        own = len(t) - int(np.asarray(t["guest"]).sum())
+        sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(t["text"]), 0), np.int64)[:own])
+        first = 0
+        while first < own:
+            last = max(first + 1, int(np.searchsorted(sizes, (sizes[first - 1] if first else 0) + SLICE_BYTES, "right")))
+            yield t.slice(first, last + 1 - first), last - first
+            first = last
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row against its edited text and the next row."""
+    for t, own in _slices(batches):
         texts = [x or "" for x in t["text"].to_pylist()]
-        own = len(texts) - int(np.asarray(t["guest"]).sum())
-        if not own:
-            continue
         edited = []
         for i in range(own):
             half = len(texts[i]) // 2
@@ -167,6 +178,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     order = sorted(((r["bucket"], r["top"]) for r in tops.collect()), reverse=True)
     host = {bucket: order[k - 1][0] for k, (bucket, _) in enumerate(order)}  # k = 0: the last bucket
     first = {bucket: top for bucket, top in order}
+    place = {bucket: k for k, (bucket, _) in enumerate(order)}  # each bucket is a partition of its own
 
     @F.arrow_udf("array<struct<bucket:long,guest:boolean>>")
     def seats(ids: pa.Array) -> pa.Array:
@@ -174,16 +186,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         out = []
         for i in ids.to_pylist():
             bucket = -1 if i is None else int(np.searchsorted(bounds, i, "left"))
-            out.append([{"bucket": bucket, "guest": False}])
+            out.append([{"bucket": place[bucket], "guest": False}])
             if first[bucket] == i:
-                out[-1].append({"bucket": host[bucket], "guest": True})
+                out[-1].append({"bucket": place[host[bucket]], "guest": True})
         return pa.array(out, pa.list_(pa.struct([("bucket", pa.int64()), ("guest", pa.bool_())])))
 
     return (
         rows.select("doc_id", "text", seats("doc_id").alias("seats"))
         .select("doc_id", "text", F.explode("seats").alias("seat"))
         .select("seat.bucket", "seat.guest", "doc_id", "text")
-        .repartition(parts, "bucket")
+        .repartitionById(max(len(order), 1), F.col("bucket").cast("int"))
         .sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
         .mapInArrow(_compared, _RESULT)
     )
