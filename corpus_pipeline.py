@@ -8,15 +8,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from llm import debruijn, minhash, mixing, packing, toxicity
-from llm.tables import store
+from llm.tables import shipped, store
 
 
+@shipped
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain, trained on the table of labels, doesn't reject."""
     chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.scored(docs, chain).filter(~F.col("toxic")).select("row.*")
 
 
+@shipped
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id. Rows without an id stay."""
     kept = minhash.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
@@ -25,6 +27,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return with_id.select(docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
+@shipped
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; those with repeated passages keep their other words, joined by one space."""
     cut = F.col("n_removed") > 0
@@ -36,11 +39,13 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return rows.select(*(changed.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
 
 
+@shipped
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target asks for."""
     return mixing.repeated(mixing.mix(docs))
 
 
+@shipped
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, with their sequences."""
     return packing.pack(docs)
@@ -58,6 +63,7 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@shipped
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:

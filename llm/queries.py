@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from llm import chat, debruijn, hilbert, licences, minhash, mixing, packing, quality, spotsigs, toxicity
+from llm.tables import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,5 +69,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", *(f"p_{c}" for c in toxicity.CATEGORIES), "toxic")
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_hilbert_neighbours, op2_minhash_dedup, op3_mixing, op4_licences, op5_spotsigs, op6_packing, op7_substring_dedup, op8_chat_format, op9_quality, op10_toxicity)}
+QUERIES: dict[str, Query] = {
+    q.__name__: shipped(q)
+    for q in (
+        op1_hilbert_neighbours,
+        op2_minhash_dedup,
+        op3_mixing,
+        op4_licences,
+        op5_spotsigs,
+        op6_packing,
+        op7_substring_dedup,
+        op8_chat_format,
+        op9_quality,
+        op10_toxicity,
+    )
+}
 SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op8_chat_format": chat.SQL}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +13,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyhouse.session import scratch_dir
 
 
+def shipped(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Let Python workers import this package from where the driver has it, whatever their working folder.
+
+    That serves executors which see the driver's files; on others, ship the package with the job.
+    ``run`` takes the session first.
+    """
+
+    @wraps(run)
+    def query(spark: SparkSession, *args) -> DataFrame:
+        here, known = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+        paths = known.get("PYTHONPATH", "").split(":")
+        if here not in paths:
+            known["PYTHONPATH"] = ":".join([here, *filter(None, paths)])
+        return run(spark, *args)
+
+    return query
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write to a fresh shared folder and read again: lineage ends there, and sizes are known."""
     path = scratch_dir(df.sparkSession, label)
