@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -38,7 +40,10 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names, or a local one in local mode."""
+    """The shared checkpoint folder the cluster names, or a local one in local mode.
+
+    The local one is made here, and goes when the program ends.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -50,6 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     local = tempfile.mkdtemp(prefix="tallyhouse-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(local)
     return local
 
