@@ -1,5 +1,7 @@
 """Trained operators: held-out accuracy, confirmation, and odd rows."""
 
+import textwrap
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -91,3 +93,16 @@ def test_licences_planted_in_the_table(spark):
     got = {(r.doc_id, r.paragraph) for r in QUERIES["op4_licences"](spark, SF).collect()}
     lines = licences.paragraphs(spark.read.parquet(f"{SF}/documents.parquet")).filter(F.lower("text").rlike("licensed under|released under"))
     assert got == {(r.doc_id, r.paragraph) for r in lines.collect()}
+
+
+def test_licences_of_wrapped_notices(spark, tables):
+    docs, _ = tables
+    scanner = licences.train(docs)
+    texts = [(f, textwrap.wrap(t, width)) for f, all_ in licences.TEMPLATES.items() for t in all_ for width in (30, 72, 80)]
+    rows = [(i, "Some words first.\n\n" + "\n".join(f" * {x}" for x in lines) + "\n\nand then more.", 0, "") for i, (_, lines) in enumerate(texts)]
+    rows += [(1000, "Released under the MIT License.\nLicensed under CC BY 4.0.", 0, "")]
+    rows += [(None, "Licensed under the Mozilla Public\nLicense, version 2.0.", 0, "")] * 2
+    got = licences.scan(spark.createDataFrame(rows, DOCS), scanner).collect()
+    assert sorted((r.doc_id, r.family, r.paragraph) for r in got if r.doc_id is not None and r.doc_id < 1000) == [(i, f, 2) for i, (f, _) in enumerate(texts)]
+    assert sorted((r.paragraph, r.family) for r in got if r.doc_id == 1000) == [(0, "MIT"), (1, "CC BY")]
+    assert [r.family for r in got if r.doc_id is None] == ["MPL"] * 2
