@@ -1,7 +1,11 @@
 """Document fingerprints by SpotSigs: chains of content words that follow common-word anchors.
 
 Each anchor of a text, with the next CHAIN words that are no anchors, is a signature; a
-document's set of them ignores navigation, lists and other text without running prose. Sets are
+document's set of them ignores navigation, lists and other text without running prose. Each text
+also has a wide set, for which a quarter of all words, by their hash, are anchors beside the common
+ones. Both rules look at one word at a time, so that a passage gives the same signatures whatever
+else its text holds. A pair is compared by the first sets where both texts have one, however
+small, and otherwise by the wide ones, so never by one of each. Sets are
 partitioned by their length, and two of them compared only if their lengths allow a likeness of
 LEAST; the comparison itself is the Jaccard similarity of the full sets.
 """
@@ -11,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -54,37 +59,59 @@ def stems(b: Block) -> np.ndarray:
     return byte_hashes(b.data, b.start, np.where(end > b.start, end, b.end))
 
 
-def signature_sets(column: pa.Array) -> list[np.ndarray]:
-    """Sorted signatures of each text. Where no anchor occurs, a quarter of all words are anchors, by their hash."""
+def _signatures(b: Block, words: np.ndarray, text: np.ndarray, anchor: np.ndarray) -> list[np.ndarray]:
+    """Sorted signatures of each text of a block."""
+    content, spots = np.flatnonzero(~anchor), np.flatnonzero(anchor)
+    first = np.searchsorted(content, spots)
+    full = first + CHAIN <= len(content)
+    spots, first = spots[full], first[full]
+    same = text[content[first + CHAIN - 1]] == text[spots]
+    spots, first = spots[same], first[same]
+    value = mix(words[spots])
+    for k in range(CHAIN):
+        value = mix(value * np.uint64(0x9E3779B97F4A7C15) + words[content[first + k]])
+    at = np.searchsorted(text[spots], np.arange(b.texts + 1))
+    return [np.unique(value[at[i] : at[i + 1]]) for i in range(b.texts)]
+
+
+@dataclass
+class Signatures:
+    """A text's sets: after common words, and after those and hashed words."""
+
+    common: np.ndarray
+    wide: np.ndarray
+
+
+def signatures(column: pa.Array) -> list[Signatures]:
+    """Both sets of each text."""
     out = []
     for b in blocks(column, lower=True):
         words = stems(b)
         text = np.repeat(np.arange(b.texts), b.counts)
         anchor = np.isin(words, _ANCHOR_HASHES)
-        without = np.bincount(text[anchor], minlength=b.texts) == 0
-        anchor |= without[text] & (words % np.uint64(4) == 0)
-        content, spots = np.flatnonzero(~anchor), np.flatnonzero(anchor)
-        first = np.searchsorted(content, spots)
-        full = first + CHAIN <= len(content)
-        spots, first = spots[full], first[full]
-        same = text[content[first + CHAIN - 1]] == text[spots]
-        spots, first = spots[same], first[same]
-        value = mix(words[spots])
-        for k in range(CHAIN):
-            value = mix(value * np.uint64(0x9E3779B97F4A7C15) + words[content[first + k]])
-        at = np.searchsorted(text[spots], np.arange(b.texts + 1))
-        out += [np.unique(value[at[i] : at[i + 1]]) for i in range(b.texts)]
+        common = _signatures(b, words, text, anchor)
+        wide = _signatures(b, words, text, anchor | (words % np.uint64(4) == 0))
+        out += [Signatures(*x) for x in zip(common, wide, strict=True)]
     return out
 
 
-def fingerprint(signatures: np.ndarray, text: str) -> str:
-    """Set length, digest of the set, and its smallest members; without signatures, of the text."""
-    if not len(signatures):
-        return f"0-{hashlib.blake2b(text.encode(), digest_size=16).hexdigest() if text else ''}-"
-    digest = hashlib.blake2b(signatures.tobytes(), digest_size=16).hexdigest()
+def signature_sets(column: pa.Array) -> list[np.ndarray]:
+    """Sorted signatures of each text after common words."""
+    return [s.common for s in signatures(column)]
+
+
+def _mark(signatures: np.ndarray) -> str:
+    digest = hashlib.blake2b(signatures.tobytes(), digest_size=16).hexdigest() if len(signatures) else ""
     return f"{len(signatures)}-{digest}-{''.join(f'{x >> 32:08x}' for x in signatures[:SKETCH].tolist())}"
 
 
+def fingerprint(s: Signatures, text: str) -> str:
+    """Of either set its length, digest and smallest members; without signatures, the digest of the text."""
+    if not len(s.common) and not len(s.wide):
+        return f"0-{hashlib.blake2b(text.encode(), digest_size=16).hexdigest() if text else ''}-"
+    return f"{_mark(s.common)}/{_mark(s.wide)}"
+
+
 def part(length: int) -> int:
     """The partition of a set length: each is longer than the one before by half."""
     return int(math.log(length, 1.5)) if length else -1
@@ -102,6 +129,13 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def near(a: Signatures, b: Signatures) -> float:
+    """Likeness of two texts by sets of one rule."""
+    if len(a.common) and len(b.common):
+        return likeness(a.common, b.common)
+    return likeness(a.wide, b.wide)
+
+
 _RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
@@ -129,13 +163,13 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(own):
             half = len(texts[i]) // 2
             edited.append(texts[i][: len(texts[i]) - half] + texts[i + 1][:half])
-        sets = signature_sets(pa.array(texts[: own + 1], pa.large_string()))
-        changed = signature_sets(pa.array(edited, pa.large_string()))
+        sets = signatures(pa.array(texts[: own + 1], pa.large_string()))
+        changed = signatures(pa.array(edited, pa.large_string()))
         marks = [fingerprint(s, x) for s, x in zip(sets, texts, strict=False)]
         new_marks = [fingerprint(s, x) for s, x in zip(changed, edited, strict=True)]
 
-        def near(i, marks_b, sets_b, j):
-            return 1.0 if marks[i] == marks_b[j] else likeness(sets[i], sets_b[j])
+        def alike(i, marks_b, sets_b, j):
+            return 1.0 if marks[i] == marks_b[j] else near(sets[i], sets_b[j])
 
         yield pa.RecordBatch.from_arrays(
             [
@@ -144,8 +178,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited], pa.string()),
                 pa.array(marks[:own], pa.string()),
                 pa.array(new_marks, pa.string()),
-                pa.array([near(i, new_marks, changed, i) for i in range(own)], pa.float64()),
-                pa.array([near(i, marks, sets, i + 1) for i in range(own)], pa.float64()),
+                pa.array([alike(i, new_marks, changed, i) for i in range(own)], pa.float64()),
+                pa.array([alike(i, marks, sets, i + 1) for i in range(own)], pa.float64()),
             ],
             names=[f.split()[0] for f in _RESULT.split(", ")],
         )

@@ -85,6 +85,16 @@ def test_single_repeated_missing_and_no_rows(spark):
     assert fingerprints(spark, []) == []
 
 
+@pytest.mark.parametrize("common", ["the of and to in is was for on with that by", "the", ""])
+def test_a_shared_half_counts_whatever_the_other_half_holds(spark, common):
+    bare = " ".join(f"word{i}" for i in range(400))
+    other = " ".join(f"{(common.split() or ['x'])[i % max(1, len(common.split()))]} thing{i} stuff{i}" if common != "the" or i == 7 else f"thing{i} stuff{i}" for i in range(200))
+    rows = {r.doc_id: r for r in fingerprints(spark, [(2, bare, "b"), (1, other, "b")])}
+    assert rows[2].near_edited > 0.2
+    whole, half = spotsigs.signatures(pa.array([bare, bare + " " + other]))
+    assert len(whole.wide) and len(set(whole.wide.tolist()) - set(half.wide.tolist())) <= 2
+
+
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
 def test_query_over_a_whole_table(spark, sf):
     from llm.queries import QUERIES
