@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import chat, debruijn, hilbert, licences, minhash, mixing, packing, quality, spotsigs, toxicity
+from llm import chat, debruijn, hilbert, licences, merkle, minhash, mixing, packing, quality, spotsigs, toxicity
 from llm.tables import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", *(f"p_{c}" for c in toxicity.CATEGORIES), "toxic")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return merkle.checked(merkle.manifest(docs, merkle.planted_tampering()))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: shipped(q)
     for q in (
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
         op8_chat_format,
         op9_quality,
         op10_toxicity,
+        op12_merkle_manifest,
     )
 }
 SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op8_chat_format": chat.SQL}
