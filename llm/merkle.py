@@ -189,3 +189,57 @@ def planted_tampering() -> dict[str, Column]:
     """One added to n_chars of the rows whose id's checksum 7 divides."""
     hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     return {"n_chars": F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+
+
+_ENCODED = "coalesce(strlen({0}::varchar)::varchar || ':' || {0}::varchar, '-')"
+SQL = f"""
+with recursive
+table_of as materialized (
+    select list_transform(range(256), lambda i: list_reduce([i] || range(8),
+               lambda c, turn: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as crc),
+sums as (
+    select d.*, xor(list_reduce([4294967295] || list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint),
+               lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) as checksum
+    from documents d, table_of),
+leaves as materialized (
+    select doc_id, coalesce('.' || lang, '') as key, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos,
+           leaf, case when checksum % 7 = 0 and n_chars is not null then changed else leaf end as start
+    from (select *, sha256({" || ".join(_ENCODED.format(c) for c in COLUMNS)}) as leaf,
+                 sha256({" || ".join(_ENCODED.format("(n_chars + 1)" if c == "n_chars" else c) for c in COLUMNS)}) as changed
+          from sums)),
+climb as (
+    select key, 0 as depth, list(leaf order by pos) as nodes from leaves group by key
+    union all
+    select key, depth + 1, list_transform(range((len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+    from climb where len(nodes) > 1),
+subroots as materialized (
+    select key, nodes[1] as subroot, row_number() over (order by key) - 1 as pos from climb where len(nodes) = 1),
+top as (
+    select 0 as depth, list(subroot order by pos) as nodes from subroots
+    union all
+    select depth + 1, list_transform(range((len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+    from top where len(nodes) > 1),
+levels as materialized (
+    select key, false as upper, depth, nodes from climb where len(nodes) > 1
+    union all
+    select '', true, depth, nodes from top where len(nodes) > 1),
+nodes as materialized (
+    select key, upper, depth, unnest(nodes) as h, generate_subscripts(nodes, 1) - 1 as pos from levels),
+starts as materialized (
+    select row_number() over () as id, l.*, s.subroot, s.pos as lang_pos from leaves l join subroots s using (key)),
+steps as (
+    select s.id, v.upper, v.depth, case when v.upper then s.lang_pos else s.pos end >> v.depth as place
+    from starts s join levels v on v.upper or v.key = s.key),
+siblings as (
+    select p.id, list(case when place & 1 = 1 then 'L' else 'R' end || coalesce(n.h, '') order by p.upper, p.depth) as path
+    from steps p join starts s using (id)
+    left join nodes n on n.upper = p.upper and n.depth = p.depth and n.key = case when p.upper then '' else s.key end and n.pos = xor(place, 1)
+    group by p.id),
+folds as (
+    select s.*, (select nodes[1] from top where len(nodes) = 1) as root, coalesce(path, []) as path
+    from starts s left join siblings using (id))
+select doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) as proof_sha256,
+       list_reduce([start] || path, lambda node, s: sha256(case when s[1] = 'L' then s[2:] || node else node || s[2:] end)) as folded_root,
+       folded_root = root as verified
+from folds
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import chat, debruijn, hilbert, licences, merkle, minhash, mixing, packing, quality, spotsigs, toxicity
+from llm import alignment, chat, debruijn, hilbert, licences, merkle, minhash, mixing, ngrams, packing, quality, spotsigs, toxicity
 from llm.tables import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,11 +69,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", *(f"p_{c}" for c in toxicity.CATEGORIES), "toxic")
 
 
+def op11_ngram_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, learned = _table(spark, sf_dir, "documents"), ~ngrams.held_out()
+    rows = ngrams.score(docs, ngrams.train(docs.filter(learned)), learned)
+    return rows.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return merkle.checked(merkle.manifest(docs, merkle.planted_tampering()))
 
 
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: shipped(q)
     for q in (
@@ -87,7 +97,9 @@ QUERIES: dict[str, Query] = {
         op8_chat_format,
         op9_quality,
         op10_toxicity,
+        op11_ngram_filter,
         op12_merkle_manifest,
+        op13_cross_tokenizer,
     )
 }
-SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op8_chat_format": chat.SQL}
+SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op8_chat_format": chat.SQL, "op12_merkle_manifest": merkle.SQL}
