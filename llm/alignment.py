@@ -24,8 +24,9 @@ from llm.tables import runs, shuffle_partitions, store
 from llm.words import BLOCK_BYTES, _buffers, byte_hashes
 
 CHUNK = 1 << 15  # bytes of a text that one task takes at a time
+JOINED = 1 << 12  # bytes of units that are encoded as one text
 FAN = 3  # 2**FAN fragments compose to one in a round
-MOST_UNITS, MOST_CACHED = 1 << 19, 1 << 26  # units of a task's cache, and their bytes; it is then emptied
+MOST_UNITS, MOST_CACHED = 1 << 18, 1 << 25  # units of a task's cache, and their bytes; it is then emptied
 LOW = 16  # bits of a pair that hold the second tokenizer's id
 
 _byte = np.arange(256)
@@ -93,6 +94,39 @@ def _char_bytes() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+class Table:
+    """Byte strings by number."""
+
+    def __init__(self, strings: list[bytes]):
+        self.size = np.array([len(x) for x in strings], np.int64)
+        self.at = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+
+    def __len__(self) -> int:
+        return len(self.size)
+
+    def __getitem__(self, i: int) -> bytes:
+        return self.data[self.at[i] : self.at[i] + self.size[i]].tobytes()
+
+    def joined(self, numbers: np.ndarray, marks: np.ndarray | None = None) -> np.ndarray:
+        """The strings of these numbers in a row, each with its mark behind it."""
+        size = self.size[numbers]
+        ends = np.cumsum(size)
+        out = self.data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.at[numbers] - (ends - size), size)]
+        return out if marks is None else np.insert(out, ends, marks)
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Their items, and the bounds of the lists in them."""
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+    return np.fromiter((i for x in lists for i in x), np.int64, bounds[-1]), bounds
+
+
+def _ends(unit: bytes) -> bool:
+    """Whether a cut could follow."""
+    return bool(_VISIBLE[unit[-1]]) or len(unit) > 1 and bool(_TRAIL[unit[-1]] and _LATIN[unit[-2]])
+
+
 class Aligner:
     """Units of texts with their groups and links, each worked out once."""
 
@@ -105,16 +139,16 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         char = _char_bytes()
-        pieces_a = sorted((i, w) for w, i in self.a.get_vocab().items())
-        self.bytes_a = {i: bytes(char[c] for c in w) if all(c in char for c in w) else w.encode() for i, w in pieces_a}
-        pieces_b = map(self.b.id_to_piece, range(self.b.get_piece_size()))
-        self.bytes_b = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces_b)
-        ]
-        if max(self.bytes_a) >> 31 or len(self.bytes_b) >> LOW:
+        vocabulary = sorted((i, w) for w, i in self.a.get_vocab().items())
+        bytes_a = {i: bytes(char[c] for c in w) if all(c in char for c in w) else w.encode() for i, w in vocabulary}
+        pieces = list(map(self.b.id_to_piece, range(self.b.get_piece_size())))
+        if max(bytes_a) >> 31 or len(pieces) >> LOW:
             raise ValueError("ids don't fit into a pair")
-        if any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(len(self.bytes_b))):
+        if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("a piece of the second vocabulary crosses a space")
+        self.bytes_a = Table([bytes_a.get(i, b"") for i in range(max(bytes_a) + 1)])
+        self.bytes_b = Table([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)])
+        self.digits = Table([str(i).encode() for i in range(max(len(self.bytes_a), len(pieces)))])
         self.clear()
 
     def clear(self) -> None:
@@ -125,51 +159,99 @@ class Aligner:
         self.links = np.zeros(1 << 14, np.int64)
         self.at = np.zeros((1 << 12) + 1, np.int64)
 
-    def align(self, unit: bytes, ids_a: list[int], ids_b: list[int]) -> tuple[bool, int, bytes, list[int]]:
-        """Whether a unit (with the space before it) is what its tokens spell, its groups, their text, its links."""
-        bytes_a, bytes_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if b"".join(bytes_a) != unit or b"".join(bytes_b) != unit:
-            return False, 0, b"", []
-        links, parts, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-        end_a, end_b = len(bytes_a[0]), len(bytes_b[0])
-        while True:
-            links.append(ids_a[i] << LOW | ids_b[j])
-            both = end_a == end_b
-            if both:
-                parts.append(f"{','.join(map(str, ids_a[from_a : i + 1]))}|{','.join(map(str, ids_b[from_b : j + 1]))}")
-                from_a, from_b = i + 1, j + 1
-                if from_a == len(ids_a):
-                    return True, len(parts), ";".join(parts).encode(), links
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a:
-                i += 1
-                end_a += len(bytes_a[i])
-            if step_b:
-                j += 1
-                end_b += len(bytes_b[j])
-
     def learn(self, units: list[tuple[int, bytes]]) -> None:
-        texts = [u.decode("utf-8", "replace") for _, u in units]
-        of_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        of_b = self.b.encode(texts, num_threads=1)
-        old = len(self.number)
-        rows, links, at = [], [], []
-        for (_, unit), a, b in zip(units, of_a, of_b, strict=True):
-            ok, n_groups, groups, own = self.align(b" " + unit, a, b)
-            rows.append((ok, ok * len(a), ok * len(b), n_groups, len(own)))
-            self.groups.append(groups)
-            links += own
-            at.append(len(links))
-            self.held += 8 * len(own) + len(groups)
+        """Encode and align units that are not known yet.
+
+        Units that begin and end as those between two cuts do are encoded many at a time. Texts
+        that a tokenizer spells otherwise are taken apart, so that only the units at fault have no tokens.
+        """
+        plain = [bool(u) and bool(_PLAIN[u[0]]) and _ends(u) for _, u in units]
+        texts: list[list[int]] = []
+        size = JOINED
+        for k, (_, u) in enumerate(units):
+            if not plain[k]:
+                continue
+            if size + len(u) >= JOINED:
+                texts.append([])
+                size = 0
+            texts[-1].append(k)
+            size += len(u) + 1
+        texts += [[k] for k in range(len(units)) if not plain[k]]
+        bad = self._align([[units[k] for k in text] for text in texts])
+        again = [[units[k]] for i in bad if len(texts[i]) > 1 for k in texts[i]]
+        alone = [units[texts[i][0]] for i in bad if len(texts[i]) == 1] + [again[i][0] for i in self._align(again)]
+        none = np.zeros(len(alone), np.int64)
+        self._keep(alone, np.zeros((len(alone), 5), np.int64), none[:0], none, [b""] * len(alone))
+
+    def _align(self, texts: list[list[tuple[int, bytes]]]) -> list[int]:
+        """Keep the units of these texts, but for texts that are not what their tokens spell: their numbers."""
+        if not texts:
+            return []
+        raw = [b"".join(b" " + u for _, u in text) for text in texts]
+        strings = [r.decode("utf-8", "replace") for r in raw]
+        sides = [
+            _flat([e.ids for e in self.a.encode_batch_fast(strings, add_special_tokens=False)]),
+            _flat(self.b.encode([t[1:] for t in strings], num_threads=1)),
+        ]
+        at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        good = np.ones(len(texts), bool)
+        for table, (ids, bounds) in zip((self.bytes_a, self.bytes_b), sides, strict=True):
+            ends = np.concatenate([[0], np.cumsum(table.size[ids])])[bounds]
+            good &= np.diff(ends) == np.diff(at)
+            same = np.flatnonzero(good)
+            if len(same):
+                own = np.repeat(good, np.diff(bounds))
+                spelt, given = table.joined(ids[own]), data[np.repeat(good, np.diff(at))]
+                right = np.add.reduceat(spelt != given, np.concatenate([[0], np.cumsum(np.diff(at)[same])])[:-1]) == 0
+                good[same] = right
+        kept = [u for text, ok in zip(texts, good.tolist(), strict=True) if ok for u in text]
+        (ids_a, end_a), (ids_b, end_b) = (
+            (x := ids[np.repeat(good, np.diff(bounds))], np.cumsum(table.size[x]))
+            for table, (ids, bounds) in zip((self.bytes_a, self.bytes_b), sides, strict=True)
+        )
+        if kept:
+            self._keep(kept, *self._linked(np.cumsum([len(u) + 1 for _, u in kept]), ids_a, end_a, ids_b, end_b))
+        return np.flatnonzero(~good).tolist()
+
+    def _linked(self, unit_end, ids_a, end_a, ids_b, end_b):
+        """Sums, links, links per unit and groups of units that both ids spell, from the ends of all in bytes."""
+        start_a = np.concatenate([[0], end_a[:-1]])
+        first = np.searchsorted(end_b, start_a, "right")
+        n = np.searchsorted(end_b, end_a, "left") + 1 - first
+        so_far = np.cumsum(n)
+        other = np.arange(so_far[-1]) + np.repeat(first - (so_far - n), n)
+        links = np.repeat(ids_a, n) << LOW | ids_b[other]
+        both = np.intersect1d(end_a, end_b, assume_unique=True)
+        upto = lambda ends: np.diff(np.searchsorted(ends, unit_end, "right"), prepend=0)
+        per_unit = np.diff(so_far[np.searchsorted(end_a, unit_end)], prepend=0)
+        sums = np.stack([np.ones(len(unit_end), np.int64), upto(end_a), upto(end_b), upto(both), per_unit], axis=1)
+        # tokens in the order of writing: a group's first ids, then its second ones
+        group_a, group_b = np.searchsorted(both, end_a), np.searchsorted(both, end_b)
+        place_a = np.arange(len(ids_a)) + np.searchsorted(group_b, group_a, "left")
+        place_b = np.arange(len(ids_b)) + np.searchsorted(group_a, group_b, "right")
+        ids, mark = np.empty(len(ids_a) + len(ids_b), np.int64), np.full(len(ids_a) + len(ids_b), ord(","), np.uint8)
+        ids[place_a], ids[place_b] = ids_a, ids_b
+        mark[place_a[np.searchsorted(end_a, both)]] = ord("|")
+        mark[place_b[np.searchsorted(end_b, both)]] = ord(";")
+        text = self.digits.joined(ids, mark).tobytes()
+        cut = np.cumsum(self.digits.size[ids] + 1)[np.cumsum(sums[:, 1] + sums[:, 2]) - 1].tolist()
+        return sums, links, per_unit, [text[i : j - 1] for i, j in zip([0, *cut], cut, strict=False)]
+
+    def _keep(self, units, sums, links, per_unit, groups) -> None:
+        """Number the units and store what is known of them."""
+        old, n = len(self.number), len(units)
         begin = self.at[old]
-        while len(self.sums) < old + len(units):
+        while len(self.sums) < old + n:
             self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
             self.at = np.concatenate([self.at, np.zeros(len(self.at) - 1, np.int64)])
         while len(self.links) < begin + len(links):
             self.links = np.concatenate([self.links, np.zeros_like(self.links)])
-        self.sums[old : old + len(units)] = rows
+        self.sums[old : old + n] = sums
         self.links[begin : begin + len(links)] = links
-        self.at[old + 1 : old + 1 + len(units)] = begin + np.array(at)
+        self.at[old + 1 : old + 1 + n] = begin + np.cumsum(per_unit)
+        self.groups += groups
+        self.held += 8 * len(links) + sum(map(len, groups))
         self.number.update((h, old + k) for k, (h, _) in enumerate(units))
 
     def numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
