@@ -1,12 +1,13 @@
 """Language-model scores of documents from a log-frequency Bloom filter of n-gram counts.
 
-The counts of all words, word pairs and word triples of the training rows are quantised to powers
-of two. An n-gram of level q goes into the filter q times, as (n-gram, 1) to (n-gram, q): probing
-1, 2, ... until a probe fails gives its level back, too high at worst. The filter grows with the
-n-grams it holds, a fixed number of bits for each entry, in segments by n-gram hash that Spark
-tasks build side by side. It is broadcast if it is small enough; else the n-grams travel to the
-segments, which gives the same scores. Probabilities are smoothed by the shorter context's, from
-the levels alone. The base score rests on exact counts, which documents meet in a join.
+The counts of all words and word pairs of the training rows are quantised to powers of two. An
+n-gram of level q goes into the filter q times, as (n-gram, 1) to (n-gram, q): probing 1, 2, ...
+until a probe fails gives its level back, too high at worst. The filter grows with the n-grams it
+holds, a fixed number of bits for each entry, in segments by n-gram hash that Spark tasks count and
+build side by side. It is broadcast if it is small enough; else the n-grams travel to the segments,
+which gives the same scores. A pair's probability is smoothed by the word's own, from the levels
+alone. The base score rests on exact counts: frequent words are at most MOST_HEAVY and broadcast,
+other documents' words meet theirs in a join.
 """
 
 from __future__ import annotations
@@ -18,21 +19,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from llm.lookups import sums_by_row
 from llm.tables import runs, shuffle_partitions, store
 from llm.words import Block, _buffers, block, blocks, mix
 
-ENTRY_BITS = 12  # of the filter, for each entry
+ENTRY_BITS = 10  # of the filter, for each entry
 ENTRY_SET = 4  # of these are set, all in one 64-bit word
-SEGMENT = 1 << 17  # 64-bit words
+SEGMENT_TEXT = 1 << 22  # bytes of training text for each segment
+KEY_BYTES = 5  # of an n-gram's hash in its segment
 MOST_BROADCAST = 1 << 27  # bytes of a filter
+MOST_HEAVY = 1 << 14  # words that hold such a share of all tokens, or more
 ROUTED = 32  # segments that one group of requests meets
-PRIOR = 4.0  # strength of the shorter context's probability, in counts
+PRIOR = 100.0  # strength of the word's own probability, in counts
 BUFFER = 1 << 20  # n-grams that are counted at once
 
 _START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
-_ONE, _TWO, _THREE = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+_ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _ROUND = 0xD6E8FEB86659FD93
+_KEY = np.uint64((1 << 8 * KEY_BYTES) - 1)
 
 
 @dataclass
@@ -41,10 +44,12 @@ class Grams:
 
     at: np.ndarray  # first place of each text, and the end
     head: np.ndarray  # whether a place is a text's start, which is no token
-    third: np.ndarray  # whether three places of the text end here
     one: np.ndarray
     two: np.ndarray
-    three: np.ndarray
+
+
+def _before(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([x[:1], x[:-1]])
 
 
 def grams(b: Block) -> Grams:
@@ -53,55 +58,57 @@ def grams(b: Block) -> Grams:
     inner = np.ones(len(token), bool)
     inner[at[:-1]] = inner[at[1:] - 1] = False
     token[inner], token[at[:-1]], token[at[1:] - 1] = b.hash, _START, _END
-    head, third = np.zeros(len(token), bool), np.ones(len(token), bool)
+    head = np.zeros(len(token), bool)
     head[at[:-1]] = True
-    third[at[:-1]] = third[at[:-1] + 1] = False
-    before = lambda x: np.concatenate([x[:1], x[:-1]])
     one = mix(token * _ONE)
-    two = mix(before(one) * _TWO + one)
-    return Grams(at, head, third, one, two, mix(before(two) * _THREE + one))
+    return Grams(at, head, one, mix(_before(one) * _TWO + one))
 
 
-def probes(key: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
-    """The word of a segment that entry (key, number) lies in, and its bits there."""
-    h = mix(key ^ np.uint64(number * _ROUND % (1 << 64)))
+def probes(key: np.ndarray, number: int, size: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """The word of a segment of ``size`` words that entry (key, number) lies in, and its bits there."""
+    h = mix((key & _KEY) ^ np.uint64(number * _ROUND % (1 << 64)))
     bits = np.zeros(len(h), np.uint64)
     for i in range(ENTRY_SET):
-        bits |= np.uint64(1) << ((h >> np.uint64(17 + 6 * i)) & np.uint64(63))
-    return (h & np.uint64(SEGMENT - 1)).astype(np.int64), bits
+        bits |= np.uint64(1) << ((h >> np.uint64(6 * i)) & np.uint64(63))
+    return ((h >> np.uint64(32)) * np.asarray(size, np.uint64) >> np.uint64(32)).astype(np.int64), bits
 
 
 def segment_of(key: np.ndarray, segments: int) -> np.ndarray:
     return ((key >> np.uint64(33)) % np.uint64(segments)).astype(np.int64)
 
 
-def level(n: Column) -> Column:
-    """Number of binary digits."""
-    return F.length(F.bin(n))
+def levels_of(n: np.ndarray) -> np.ndarray:
+    """Numbers of binary digits."""
+    return np.frexp(n.astype(np.float64))[1]
 
 
 def fill(key: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """A segment that holds these n-grams."""
-    words = np.zeros(SEGMENT, np.uint64)
+    """A segment that holds these n-grams: its words."""
+    words = np.zeros(max(1, -(-int(levels.sum()) * ENTRY_BITS // 64)), np.uint64)
     for number in range(1, int(levels.max(initial=0)) + 1):
-        place, bits = probes(key[levels >= number], number)
+        place, bits = probes(key[levels >= number], number, len(words))
         np.bitwise_or.at(words, place, bits)
     return words
 
 
-def read_levels(words: np.ndarray, base: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Levels of n-grams whose segments begin at ``base`` in words: probes until one fails."""
-    out = np.zeros(len(key), np.int64)
-    open_ = np.arange(len(key))
-    number = 0
-    while len(open_):
-        number += 1
-        place, bits = probes(key[open_], number)
-        open_ = open_[words[base[open_] + place] & bits == bits]
-        out[open_] = number
-        if number == 63:
-            break
-    return out
+@dataclass
+class Filter:
+    """Some segments, one behind the other."""
+
+    words: np.ndarray
+    at: np.ndarray  # bounds of the segments
+
+    def levels(self, key: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        """Levels of n-grams: probes until one fails."""
+        out, number = np.zeros(len(key), np.int64), 0
+        base, size = self.at[segment], self.at[segment + 1] - self.at[segment]
+        left = np.flatnonzero(size)
+        while len(left) and number < 63:
+            number += 1
+            place, bits = probes(key[left], number, size[left])
+            left = left[self.words[base[left] + place] & bits == bits]
+            out[left] = number
+        return out
 
 
 def estimate(levels: np.ndarray) -> np.ndarray:
@@ -117,130 +124,159 @@ def scores(g: Grams, lookup: Lookup, tokens: int, words: int) -> tuple[np.ndarra
     """log10 probability of each text, and the levels of its words.
 
     With c as the counts that levels stand for: p1 = (c(w) + 1) / (tokens + words + 1), and
-    p = (c(context w) + PRIOR * p of the shorter context) / (c(context) + PRIOR). An n-gram is
-    looked up only if both shorter ones in it were found.
+    p = (c(v w) + PRIOR * p1) / (c(v) + PRIOR) for a word w behind v. A pair is looked up only if
+    both its words were found.
     """
-    before = lambda x: np.concatenate([x[:1], x[:-1]])
-
-    def found(keys: np.ndarray, where: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(keys), np.int64)
-        out[where] = lookup(keys[where])
-        return out
-
-    one = found(g.one, np.ones(len(g.one), bool))
-    two = found(g.two, ~g.head & (one > 0) & (before(one) > 0))
-    three = found(g.three, g.third & (two > 0) & (before(two) > 0))
-    c1, c2, c3 = estimate(one), estimate(two), estimate(three)
-    p = (c1 + 1) / (tokens + words + 1)
-    context = before(c1)
-    p = (np.minimum(c2, context) + PRIOR * p) / (context + PRIOR)
-    context = np.where(g.third, before(c2), 0)
-    p = (np.minimum(c3, context) + PRIOR * p) / (context + PRIOR)
+    one = lookup(g.one)
+    pair = ~g.head & (one > 0) & (_before(one) > 0)
+    two = np.zeros(len(one), np.int64)
+    two[pair] = lookup(g.two[pair])
+    p = (estimate(one) + 1) / (tokens + words + 1)
+    context = _before(estimate(one))
+    p = (np.minimum(estimate(two), context) + PRIOR * p) / (context + PRIOR)
     p[g.head] = 1
     return np.add.reduceat(np.log10(p), g.at[:-1]), one
 
 
 @dataclass(frozen=True)
 class Model:
-    counts: DataFrame  # (kind, key, n): 0 starts, 1 words, 2 pairs, 3 triples
+    counts: DataFrame  # (key, n) of words
     filter: DataFrame  # (segment, words)
     segments: int
+    size: int  # bytes of the filter
     tokens: int
     words: int
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _buffered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Grams]]:
     held: list[Grams] = []
-
-    def counts() -> Iterator[pa.RecordBatch]:
-        for kind, keys in enumerate(
-            (
-                [g.one[g.head] for g in held],
-                [g.one[~g.head] for g in held],
-                [g.two[~g.head] for g in held],
-                [g.three[g.third] for g in held],
-            )
-        ):
-            key, n = np.unique(np.concatenate(keys), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(key), kind, np.int8)), pa.array(key.view(np.int64)), pa.array(n)],
-                names=["kind", "key", "n"],
-            )
-
+    size = 0
     for batch in batches:
         for b in blocks(batch.column(0), lower=True):
             held.append(grams(b))
-            if sum(len(g.one) for g in held) > BUFFER:
-                yield from counts()
-                held.clear()
+            size += len(held[-1].one)
+            if size > BUFFER:
+                yield held
+                held, size = [], 0
     if held:
-        yield from counts()
+        yield held
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and how often they occur, buffer by buffer."""
+    for held in _buffered(batches):
+        key, n = np.unique(np.concatenate([g.one[~g.head] for g in held]), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+
+def _packed(key: np.ndarray) -> bytes:
+    return key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // KEY_BYTES, 8), np.uint8)
+    out[:, :KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
+    return out.reshape(-1).view("<u8")
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
+    """Words and pairs by segment, buffer by buffer: those that occur once there, the others, and how often they do."""
+    for held in _buffered(batches):
+        key, n = np.unique(np.concatenate([x for g in held for x in (g.one, g.two[~g.head])]), return_counts=True)
+        segment = segment_of(key, segments)
+        order = np.lexsort((n > 1, segment))
+        key, n, segment = key[order], n[order], segment[order]
+        found, first = np.unique(segment, return_index=True)
+        bounds = [*first.tolist(), len(key)]
+        more = np.concatenate([[0], np.cumsum(n > 1)])
+        parts = [(i, j - int(more[j] - more[i]), j) for i, j in zip(bounds, bounds[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(found),
+                pa.array([_packed(key[i:k]) for i, k, _ in parts], pa.binary()),
+                pa.array([_packed(key[k:j]) for _, k, j in parts], pa.binary()),
+                pa.array([n[k:j].astype("<u4").tobytes() for _, k, j in parts], pa.binary()),
+            ],
+            names=["segment", "once", "keys", "times"],
+        )
 
 
 def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in runs(batches, "segment"):
-        key, levels = (np.asarray(group.column(c)) for c in ("key", "level"))
-        words = fill(key.view(np.uint64), levels)
+        once, keys, times = (b"".join(group.column(c).to_pylist()) for c in ("once", "keys", "times"))
+        one, other = _unpacked(once), _unpacked(keys)
+        n = np.concatenate([np.ones(len(one), np.int64), np.frombuffer(times, "<u4").astype(np.int64)])
+        key, place = np.unique(np.concatenate([one, other]), return_inverse=True)
+        words = fill(key, levels_of(np.bincount(place, n)))
         yield pa.RecordBatch.from_arrays([group.column("segment")[:1].combine_chunks(), pa.array([words.tobytes()], pa.binary())], names=["segment", "words"])
 
 
 def train(docs: DataFrame) -> Model:
-    """Counts of all n-grams of docs (text, ...), and their filter. No rows give an empty filter."""
-    spark = docs.sparkSession
-    found = docs.select(F.col("text").cast("string")).mapInArrow(_counted, "kind byte, key long, n long")
-    counts = store(found.groupBy("kind", "key").agg(F.sum("n").alias("n")), "ngrams")
-    word = F.col("kind") == 1
-    entries, tokens, words = counts.agg(F.sum(level(F.col("n"))), F.sum(F.when(word, F.col("n"))), F.count(F.when(word, 1))).first()
-    segments = max(1, -(-(entries or 0) * ENTRY_BITS // (64 * SEGMENT)))
-    segment = F.pmod(F.shiftrightunsigned("key", 33), F.lit(segments)).alias("segment")
-    dealt = counts.select(segment, "key", level(F.col("n")).cast("byte").alias("level"))
-    dealt = dealt.repartition(shuffle_partitions(spark), "segment").sortWithinPartitions("segment")
+    """Exact counts of the words of docs (text, ...), and the filter. No rows give an empty filter."""
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    found = texts.mapInArrow(_words, "key long, n long")
+    counts = store(found.groupBy("key").agg(F.sum("n").alias("n")), "words")
+    tokens, words = counts.agg(F.sum("n"), F.count("*")).first()
+    segments = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SEGMENT_TEXT
+    dealt = texts.mapInArrow(lambda batches: _dealt(batches, segments), "segment long, once binary, keys binary, times binary")
+    dealt = dealt.repartition(shuffle_partitions(docs.sparkSession), "segment").sortWithinPartitions("segment")
     made = store(dealt.mapInArrow(_filled, "segment long, words binary"), "filter")
-    return Model(counts, made, segments, tokens or 0, words)
-
-
-_SCORED = "row long, doc_id long, learned boolean, n_tokens long, score double, items array<struct<key:long,n:long>>"
-
-
-def _scored(batch: pa.RecordBatch, first: int, g: Grams, lookup: Lookup, model: tuple[int, int]) -> pa.RecordBatch:
-    """Rows (row, doc_id, learned, ...) of a batch with the scores of their texts, and their known words."""
-    n = len(g.at) - 1
-    values, one = scores(g, lookup, *model)
-    known = ~g.head & (one > 0)
-    text = np.repeat(np.arange(n), np.diff(g.at))[known]
-    kinds, word = np.unique(g.one[known], return_inverse=True)
-    pair, times = np.unique(text * np.int64(1 << 32) + word, return_counts=True)
-    text, word = np.divmod(pair, np.int64(1 << 32))
-    items = pa.StructArray.from_arrays([pa.array(kinds[word].view(np.int64)), pa.array(times)], names=["key", "n"])
-    bounds = pa.array(np.searchsorted(text, np.arange(n + 1)).astype(np.int32))
-    return pa.RecordBatch.from_arrays(
-        [
-            *(batch.column(i).slice(first, n) for i in range(3)),
-            pa.array(np.diff(g.at) - 1),
-            pa.array(values),
-            pa.ListArray.from_arrays(bounds, items),
-        ],
-        names=["row", "doc_id", "learned", "n_tokens", "score", "items"],
-    )
+    size = made.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    return Model(counts, made, segments, size, tokens or 0, words)
+
+
+_SCORED = "row long, doc_id long, learned boolean, n_tokens long, score double, known long, gain double, items array<struct<key:long,n:long>>"
 
 
-def _by_broadcast(rows: DataFrame, model: Model) -> DataFrame:
+@dataclass
+class Scorer:
+    """What every task holds: the numbers of tokens and words, and the exact counts of frequent words."""
+
+    tokens: int
+    words: int
+    key: np.ndarray
+    n: np.ndarray
+
+    def batch(self, batch: pa.RecordBatch, first: int, g: Grams, lookup: Lookup) -> pa.RecordBatch:
+        """Rows (row, doc_id, learned, ...) with the scores of their texts, sums over frequent words, and other known words."""
+        n = len(g.at) - 1
+        values, one = scores(g, lookup, self.tokens, self.words)
+        place = np.minimum(np.searchsorted(self.key, g.one), len(self.key) - 1)
+        heavy = (self.key[place] == g.one) & ~g.head
+        gain = np.where(heavy, np.log10(self.n[place] + 1.0), 0.0)
+        rest = ~g.head & ~heavy & (one > 0)
+        text = np.repeat(np.arange(n), np.diff(g.at))[rest]
+        kinds, word = np.unique(g.one[rest], return_inverse=True)
+        pair, times = np.unique(text * np.int64(1 << 32) + word, return_counts=True)
+        text, word = np.divmod(pair, np.int64(1 << 32))
+        items = pa.StructArray.from_arrays([pa.array(kinds[word].view(np.int64)), pa.array(times)], names=["key", "n"])
+        bounds = pa.array(np.searchsorted(text, np.arange(n + 1)).astype(np.int32))
+        return pa.RecordBatch.from_arrays(
+            [
+                *(batch.column(i).slice(first, n) for i in range(3)),
+                pa.array(np.diff(g.at) - 1),
+                pa.array(values),
+                pa.array(np.add.reduceat(heavy.astype(np.int64), g.at[:-1])),
+                pa.array(np.add.reduceat(gain, g.at[:-1])),
+                pa.ListArray.from_arrays(bounds, items),
+            ],
+            names=["row", "doc_id", "learned", "n_tokens", "score", "known", "gain", "items"],
+        )
+
+
+def _by_broadcast(rows: DataFrame, model: Model, scorer: Scorer) -> DataFrame:
     """Rows (row, doc_id, learned, text) scored by tasks that hold the whole filter."""
-    words = np.zeros((model.segments, SEGMENT), np.uint64)
+    parts = [np.zeros(0, np.uint64)] * model.segments
     for r in model.filter.toLocalIterator():
-        words[r["segment"]] = np.frombuffer(r["words"], np.uint64)
-    held = rows.sparkSession.sparkContext.broadcast(words)
-    segments, sizes = model.segments, (model.tokens, model.words)
+        parts[r["segment"]] = np.frombuffer(r["words"], np.uint64)
+    whole = Filter(np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])]))
+    del parts
+    held, segments = rows.sparkSession.sparkContext.broadcast(whole), model.segments
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = held.value.reshape(-1)
-
-        def lookup(key: np.ndarray) -> np.ndarray:
-            return read_levels(flat, segment_of(key, segments) * SEGMENT, key)
-
         for batch in batches:
             for b in blocks(batch.column(3), lower=True):
-                yield _scored(batch, b.first, grams(b), lookup, sizes)
+                yield scorer.batch(batch, b.first, grams(b), lambda key: held.value.levels(key, segment_of(key, segments)))
 
     return rows.mapInArrow(run, _SCORED)
 
@@ -253,20 +289,19 @@ def _single(column: pa.Array) -> Iterator[Block]:
 
 def _requests(g: Grams, segments: int, routed: int) -> list[tuple[int, np.ndarray]]:
     """The n-grams of a text, by group of segments; sorted, so that they are the same at any time."""
-    keys = np.unique(np.concatenate([g.one, g.two[~g.head], g.three[g.third]]))
+    keys = np.unique(np.concatenate([g.one, g.two[~g.head]]))
     group = segment_of(keys, segments) // routed
     keys = keys[np.argsort(group, kind="stable")]
     groups, n = np.unique(group, return_counts=True)
     return list(zip(groups.tolist(), np.split(keys, np.cumsum(n)[:-1]), strict=True))
 
 
-def _by_route(rows: DataFrame, model: Model, routed: int) -> DataFrame:
+def _by_route(rows: DataFrame, model: Model, scorer: Scorer, routed: int) -> DataFrame:
     """Rows (row, doc_id, learned, text) scored with levels that their n-grams bring from the segments.
 
-    A task holds ``routed`` segments at a time. Long texts ask each group of segments once.
+    A task holds ``routed`` segments at a time. A text asks each group of segments once.
     """
-    segments, sizes = model.segments, (model.tokens, model.words)
-    parts = shuffle_partitions(rows.sparkSession)
+    segments, parts = model.segments, shuffle_partitions(rows.sparkSession)
     rows = store(rows, "texts")
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,19 +318,22 @@ def _by_route(rows: DataFrame, model: Model, routed: int) -> DataFrame:
                 )
 
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, at = np.zeros(routed * SEGMENT, np.uint64), None
+        words: dict[int, np.ndarray] = {}
+        group_at, held = None, None
         for batch in batches:
             out = []
             for group, row, segment, data in zip(*(batch.column(c).to_pylist() for c in ("group", "row", "segment", "data")), strict=True):
-                if group != at:
-                    words[:], at = 0, group
+                if group != group_at:
+                    words, group_at, held = {}, group, None
                 if row is None:
-                    place = segment % routed * SEGMENT
-                    words[place : place + SEGMENT] = np.frombuffer(data, np.uint64)
-                else:
-                    key = np.frombuffer(data, np.uint64)
-                    found = read_levels(words, segment_of(key, segments) % routed * SEGMENT, key)
-                    out.append((group, row, found.astype(np.uint8).tobytes()))
+                    words[segment % routed] = np.frombuffer(data, np.uint64)
+                    continue
+                if held is None:
+                    own = [words.get(i, np.zeros(0, np.uint64)) for i in range(routed)]
+                    held = Filter(np.concatenate(own), np.concatenate([[0], np.cumsum([len(w) for w in own])]))
+                key = np.frombuffer(data, np.uint64)
+                found = held.levels(key, segment_of(key, segments) % routed)
+                out.append((group, row, found.astype(np.uint8).tobytes()))
             columns = zip(*out, strict=True) if out else ([], [], [])
             kinds = (pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["group", "row", "data"])
@@ -308,7 +346,7 @@ def _by_route(rows: DataFrame, model: Model, routed: int) -> DataFrame:
                 levels = np.frombuffer(b"".join(x["data"] for x in batch.column(4)[b.first].as_py()), np.uint8)
                 order = np.argsort(keys)
                 keys, levels = keys[order], levels[order].astype(np.int64)
-                yield _scored(batch, b.first, g, lambda key: levels[np.searchsorted(keys, key)], sizes)  # noqa: B023
+                yield scorer.batch(batch, b.first, g, lambda key: levels[np.searchsorted(keys, key)])  # noqa: B023
 
     kind = "group long, row long, data binary"
     asks = rows.select("row", "text").mapInArrow(asked, kind).withColumn("segment", F.lit(None).cast("long"))
@@ -328,16 +366,19 @@ def score(docs: DataFrame, model: Model, learned: Column, most: int = MOST_BROAD
     for itself. A filter of over ``most`` bytes isn't broadcast; the scores are the same. A model
     without tokens gives every token the probability 1. Columns but doc_id and text are not read.
     """
+    frequent = model.counts.filter(F.col("n") * MOST_HEAVY >= F.lit(model.tokens)).collect()  # MOST_HEAVY rows at most
+    heavy = sorted((r["key"] % (1 << 64), r["n"]) for r in frequent) or [(0, 0)]
+    scorer = Scorer(model.tokens, model.words, np.array([k for k, _ in heavy], np.uint64), np.array([n for _, n in heavy]))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), learned.alias("learned"), F.col("text").cast("string"))
-    small = 8 * SEGMENT * model.segments <= most
-    scored = store(_by_broadcast(rows, model) if small else _by_route(rows, model, routed), "scored")
+    scored = store(_by_broadcast(rows, model, scorer) if model.size <= most else _by_route(rows, model, scorer, routed), "scored")
     items = scored.select("row", F.explode("items").alias("item")).select("row", "item.*")
-    values = model.counts.filter("kind = 1").select("key", F.col("n").alias("weight"))
-    known = sums_by_row(items, values, model.tokens, n_known=F.sum("n"), gain=F.sum(F.col("n") * F.log10(F.col("weight") + 1)))
-    base = F.coalesce("gain", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(model.tokens + model.words + 1)))
-    return scored.join(known, "row", "left").select(
-        "doc_id", "learned", "n_tokens", F.coalesce("n_known", F.lit(0)).cast("long").alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score",
+    rare = model.counts.filter(F.col("n") * MOST_HEAVY < F.lit(model.tokens)).select("key", F.col("n").alias("count"))
+    sums = items.join(rare, "key").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("count") + 1)).alias("more_gain"))
+    gain = F.col("gain") + F.coalesce("more_gain", F.lit(0.0))
+    return scored.join(sums, "row", "left").select(
+        "doc_id", "learned", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        (gain - F.col("n_tokens") * F.log10(F.lit(float(model.tokens + model.words + 1)))).alias("base_score"), "score",
     )
 
 
