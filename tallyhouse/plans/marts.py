@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyhouse.functions.keys import import_id
 from tallyhouse.functions.money import MONEY, MONEY_SUM, money_sum, to_milliunits
 from tallyhouse.operators.joins import anti_join, full_join, semi_join
+from tallyhouse.operators.ranks import rank_in_key
 
 YES, NO = "✔️", "❌"
 
@@ -108,6 +109,36 @@ CASH_FLOW_INPUT = (
 )
 
 
+def _outflow() -> Column:
+    return F.least("transaction_amount", F.lit(0).cast(MONEY))
+
+
+DAILY_KEYS = (
+    "transaction_date",
+    "year_month",
+    "payee_name",
+    "budget_category",
+    "budget_category_group",
+    "budget_category_group_id",
+    "account_is_cash",
+    "transaction_is_transfer",
+    "budget_is_expense",
+    "is_unaccounted",
+    "is_passive",
+)
+DAILY_SUMS = ("transaction_amount", "cash_amount", "income", "spending")
+
+
+def mart_daily(dashboard: DataFrame) -> DataFrame:
+    """The dashboard summed up per day, payee, category and flags.
+
+    Sums add up again, so every metric and the cash flows can be had from it instead of the
+    dashboard. ``outflow`` sums the negative amounts, which can't be told from summed amounts.
+    """
+    sums = [money_sum(c).alias(c) for c in DAILY_SUMS]
+    return dashboard.groupBy(*DAILY_KEYS).agg(*sums, money_sum(_outflow()).alias("outflow"), F.count("*").alias("n_rows"))
+
+
 def mart_cash_flow(dashboard: DataFrame, investment_group: str) -> DataFrame:
     """Money flows per month as weighted edges (src, dest).
 
@@ -122,7 +153,7 @@ def mart_cash_flow(dashboard: DataFrame, investment_group: str) -> DataFrame:
     cells = dashboard.groupBy("year_month", "payee_name", "budget_category_group").agg(
         money_sum("income").alias("income"),
         money_sum("spending").alias("spending"),
-        money_sum(F.when(invested, F.least("transaction_amount", F.lit(0).cast(MONEY)))).alias("invested"),
+        money_sum(F.when(invested, c("outflow") if "outflow" in dashboard.columns else _outflow())).alias("invested"),
         money_sum(F.when(c("account_is_cash"), c("transaction_amount"))).alias("cash"),
     )
     by_payee, by_group, by_month = (
@@ -223,6 +254,21 @@ def uncleared_pair_counts(ledger: DataFrame, bank: DataFrame) -> DataFrame:
     )
 
 
+def _in_order(ledger: DataFrame, bank: DataFrame) -> DataFrame:
+    """The n-th ledger entry of an account and amount beside the n-th bank entry, in the order of date and id.
+
+    Entries without an account or an amount stand alone.
+    """
+    keys, own = ["account_id", "amount"], ["id", "date_id", "description"]
+    both = ledger.select(*keys, *own, F.lit("ledger").alias("side")).unionByName(bank.select(*keys, *own, F.lit("bank").alias("side")))
+    placed = rank_in_key(both, [*keys, "side"], [F.col(c).asc_nulls_last() for c in ("date_id", "id")], "place")
+    known = F.col("account_id").isNotNull() & F.col("amount").isNotNull()
+    alone = F.when(~known, F.col("side")).alias("alone")
+    entry = {name: F.max(F.when(F.col("side") == name, F.struct(*own))).alias(name) for name in ("ledger", "bank")}
+    met = placed.groupBy(*keys, "place", alone).agg(*entry.values())
+    return met.select(*keys, *(F.col(f"{name}.{c}").alias(f"{name}_{c}") for name in entry for c in own))
+
+
 def mart_uncleared(ledger: DataFrame, bank: DataFrame, one_to_one: bool = False) -> DataFrame:
     """Uncleared ledger entries beside bank entries since the last reconciliation.
 
@@ -231,10 +277,6 @@ def mart_uncleared(ledger: DataFrame, bank: DataFrame, one_to_one: bool = False)
     are matched in the order of date and id.
     """
     keys = ["account_id", "amount"]
-    if one_to_one:
-        order = Window.partitionBy(*keys).orderBy(*(F.col(c).asc_nulls_last() for c in ("date_id", "id")))
-        ledger, bank = (side.withColumn("place", F.row_number().over(order)) for side in (ledger, bank))
-        keys = [*keys, "place"]
     sides = [
         side.withColumnsRenamed({c: f"{name}_{c}" for c in ("id", "date_id", "description")})
         for name, side in (("ledger", ledger), ("bank", bank))
@@ -243,7 +285,7 @@ def mart_uncleared(ledger: DataFrame, bank: DataFrame, one_to_one: bool = False)
     def mark(ident: str) -> Column:
         return F.when(F.col(ident).isNotNull(), F.lit(YES)).otherwise(F.lit(NO))
 
-    return full_join(*sides, keys).select(
+    return (_in_order(ledger, bank) if one_to_one else full_join(*sides, keys)).select(
         F.coalesce("ledger_date_id", "bank_date_id").alias("transaction_date"),
         F.coalesce("ledger_description", "bank_description").alias("transaction_description"),
         F.col("amount").alias("transaction_amount"),

@@ -250,6 +250,18 @@ class Warehouse:
             lambda: marts.mart_dashboard(self.fact_accounting_transaction, self._dimensions()),
         )
 
+    @cached_property
+    def mart_daily(self) -> DataFrame:
+        return self._table(
+            "mart_daily", lambda: marts.mart_daily(self.dashboard((*marts.DAILY_KEYS, *marts.DAILY_SUMS)))
+        )
+
+    def _summed(self, columns: Collection[str]) -> DataFrame:
+        """Rows that add up like the dashboard's: the daily sums where they are stored on purpose."""
+        if self.stored is not None and self._is_stored("mart_daily"):
+            return self.mart_daily
+        return self.dashboard(columns)
+
     def dashboard(self, columns: Collection[str]) -> DataFrame:
         """Columns of the dashboard mart: read from the stored mart, else built without the
         dimensions that they do not need."""
@@ -265,7 +277,7 @@ class Warehouse:
         return self._table(
             "mart_cash_flow",
             lambda: marts.mart_cash_flow(
-                self.dashboard(marts.CASH_FLOW_INPUT), self.options.investment_group
+                self._summed(marts.CASH_FLOW_INPUT), self.options.investment_group
             ),
         )
 
@@ -318,7 +330,7 @@ class Warehouse:
         if changes:
             spec = metrics.MetricSpec(**{**vars(spec), **changes})
         mart = {
-            "dashboard": lambda: self.dashboard(spec.reads),
+            "dashboard": lambda: self._summed(spec.reads),
             "cash_flow": lambda: self.mart_cash_flow,
             "uncleared": lambda: self.uncleared_pair_counts,
         }[spec.source]()

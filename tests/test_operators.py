@@ -6,9 +6,9 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from tallyhouse.operators import calendar, dedupe, joins, quality, reports, scd, series, unnest
+from tallyhouse.operators import calendar, dedupe, joins, quality, ranks, reports, scd, series, unnest
 
 
 def plan(df):
@@ -92,6 +92,66 @@ def test_full_join_matches_built_in(spark, rows):
     assert rows(got, "k", "n", "l", "r") == rows(left.join(right, ["k", "n"], "full"), "k", "n", "l", "r")
 
 
+@pytest.fixture
+def hot_sides(spark):
+    """A third of each side's rows on one key, and another third without one."""
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, -F.col("id")).cast("int").alias("k")
+    left = spark.range(0, 1200, 1, 8).select(key, F.lit("x").alias("a"), F.col("id").alias("l"))
+    right = spark.range(0, 900, 1, 8).select(key, F.lit("x").alias("a"), (F.col("id") * 10).alias("r"))
+    return left, right
+
+
+def test_full_join_cuts_a_hot_key_into_small_groups(spark, rows, hot_sides):
+    left, right = hot_sides
+    want = rows(left.join(right, ["k", "a"], "full"), "k", "a", "l", "r")
+    for size in (7, 50, 1024):
+        got = joins.full_join(left, right, ["k", "a"], slice_rows=size)
+        assert rows(got, "k", "a", "l", "r") == want
+    # pairs of the hot key: 400 by 300 rows; in 8 by 6 groups they are dealt over all tasks
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        listed = joins.full_join(left, right, ["k", "a"], slice_rows=50)
+        shares = listed.filter("k = 7").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sum(r["count"] for r in shares) == 400 * 300
+    assert len(shares) > 1 and max(r["count"] for r in shares) < 0.6 * 400 * 300
+
+
+def test_full_join_takes_three_exchanges(spark, hot_sides):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        text = plan(joins.full_join(*hot_sides, ["k", "a"]))
+    finally:
+        spark.conf.set(name, before)
+    assert text.count("Exchange hashpartitioning") == 3
+    assert text.count("SortMergeJoin") == 1 and "FullOuter" not in text
+
+
+def test_full_join_of_empty_sides_and_sides_without_columns(spark, rows):
+    keys = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    none = spark.createDataFrame([], "k int, v int")
+    assert rows(joins.full_join(keys, none, ["k"]), "k", "v") == [(1, None), (2, None), (None, None)]
+    assert rows(joins.full_join(none, keys, ["k"]), "k", "v") == [(1, None), (2, None), (None, None)]
+    assert rows(joins.full_join(none, none.withColumnRenamed("v", "w"), ["k"])) == []
+
+
+def test_ranks_of_a_hot_key_are_counted_in_ranges(spark, rows):
+    df = spark.range(0, 5000, 1, 8).select(
+        F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 == 0, F.concat(F.lit("k"), F.col("id") % 10)).alias("k"),
+        F.when(F.col("id") % 50 > 0, F.col("id") * 7919 % 5000).alias("day"), F.col("id").alias("n"),
+    )
+    order = [F.col("day").asc_nulls_last(), F.col("n").asc_nulls_last()]
+    got = ranks.rank_in_key(df, ["k"], order, "place")
+    plain = df.withColumn("place", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+    assert rows(got, "k", "n", "place") == rows(plain, "k", "n", "place")
+    assert rows(ranks.rank_in_key(df.filter("n < 0"), ["k"], order)) == []
+
+
 def test_semi_and_anti_join_null_keys(spark, rows):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     keys = spark.createDataFrame([("a",), ("a",), (None,)], "key string")
@@ -263,6 +323,25 @@ def test_checks_count_failures_and_let_nulls_pass(spark, rows):
     ]
 
 
+def test_key_checks_read_each_table_once(spark, rows):
+    child = spark.createDataFrame([(1, "a", "x"), (1, "b", "x"), (2, "z", "y"), (3, "z", None)], "id int, p string, q string")
+    parent = spark.createDataFrame([("a", 1), ("b", 1), ("b", None)], "id string, n int")
+    tables = {"c": child, "p": parent}
+    unique = quality.check_unique(tables, [("c", "id"), ("c", "p"), ("p", "id"), ("p", "n")])
+    assert rows(unique, "table_name", "column_name", "n_failed") == [("c", "id", 1), ("c", "p", 1), ("p", "id", 1), ("p", "n", 1)]
+    refers = [("c", "p", "p", "id"), ("c", "q", "p", "id"), ("c", "id", "p", "n"), ("p", "n", "c", "id")]
+    dangling = quality.check_relationships(tables, refers)
+    assert rows(dangling, "table_name", "column_name", "n_failed") == [("c", "id", 2), ("c", "p", 2), ("c", "q", 3), ("p", "n", 0)]
+    assert plan(unique).count("Scan ExistingRDD") == 2
+    assert plan(dangling).count("Scan ExistingRDD") == 4  # each as a child, and as a parent
+
+
+def test_key_checks_of_empty_tables(spark, rows):
+    none = spark.createDataFrame([], "id int")
+    assert rows(quality.check_unique({"t": none}, [("t", "id")]), "n_failed") == [(0,)]
+    assert rows(quality.check_relationships({"t": none}, [("t", "id", "t", "id")]), "n_failed") == [(0,)]
+
+
 def test_row_checks_read_the_table_once(spark):
     df = spark.range(10).withColumn("n", F.col("id"))
     out = quality.check_rows("t", df, quality.Checks("id n", ranges={"n": quality.Range(0)}))

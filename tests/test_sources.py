@@ -224,3 +224,26 @@ def test_models_as_catalog_table_and_view(spark, rows):
         assert rows(spark.sql("select * from tallyhouse_test_view")) == [(1,)]
     finally:
         spark.sql("drop table tallyhouse_test_table")
+
+
+def test_documents_at_fault_are_put_aside(spark, rows, tmp_path):
+    sound = '{"data":{"budget":{"id":"b1","accounts":[{"id":"a1"},{"id":"a2","colour":"red"}],"theme":1},"server_knowledge":4}}'
+    lines = [
+        sound,
+        "",
+        sound[:-5],
+        '{"data":{"budget":{"name":"none"}}}',
+        '{"data":{"budget":{"id":"b2","accounts":[{"id":"a3","closed":"perhaps"}]}}}',
+        "[1, 2]",
+        '{"data":{"budget":{"id":"b3","accounts":[]}}}',
+    ]
+    text = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+    text.write.text(str(tmp_path / f"by={lake.BUDGET_SOURCE}" / "date=2024-01-01"))
+    raw = budget.read_raw(spark, str(tmp_path), lines=True)
+    documents = budget.checked(raw, "accounts")
+    assert rows(budget.sound(documents).select("data.budget.id", F.size("data.budget.accounts"))) == [("b1", 2), ("b3", 0)]
+    aside = rows(budget.quarantine(documents), "reason", "value")
+    assert aside == sorted([(budget.UNREADABLE, lines[2]), (budget.NO_BUDGET, lines[3]), (budget.UNREADABLE, lines[4]), (budget.UNREADABLE, lines[5])], key=repr) or aside == sorted(
+        [(budget.UNREADABLE, lines[2]), (budget.NO_BUDGET, lines[3]), (budget.UNREADABLE, lines[4]), (budget.NO_BUDGET, lines[5])], key=repr
+    )
+    assert rows(budget.unknown_fields(raw, "accounts")) == [("accounts.colour", 1), ("theme", 1)]

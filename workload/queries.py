@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,7 +15,7 @@ from tallyhouse.operators import calendar, dedupe, joins, quality, series, unnes
 from tallyhouse.plans import checks, facts, marts, metrics, staging
 from tallyhouse.plans.warehouse import LOOKUPS, Warehouse
 from tallyhouse.session import scratch_dir
-from tallyhouse.sources import budget, incremental, journeys, lake, seeds, statements
+from tallyhouse.sources import budget, incremental, journeys, lake, seeds, statements, versioned
 from tallyhouse.streaming import snapshots
 from workload import adapters, oracle
 
@@ -86,7 +86,12 @@ for _name, _model in _MODELS.items():
 # --- metrics ----------------------------------------------------------------
 
 
+_METRIC_SQL: dict[str, tuple[str, dt.date | None, dict, str]] = {}
+
+
 def _metric(name: str, metric: str, sql: str, as_of: dt.date | None = None, **changes) -> None:
+    if metrics.METRICS[metric].source != "uncleared":
+        _METRIC_SQL[name] = metric, as_of, changes, sql
     also = RECONCILED if metrics.METRICS[metric].source == "uncleared" else ()
     _register(
         name, lambda spark, sf: adapters.with_lookups(spark, sf, also).metric(metric, as_of, **changes), sql
@@ -170,6 +175,35 @@ _metric(
 _metric("metric_uncleared_count", "uncleared_count", "select count(*) as value from mart_uncleared")
 
 
+def _labels(columns: list[str]) -> list[str]:
+    """Columns that tell a metric's rows apart, beside the period."""
+    return [c for c in ("budget_category", "src", "dest") if c in columns]
+
+
+def _all_metrics_sql() -> str:
+    labels = {"expenses": "budget_category", "cash_flow_top": "src || ' > ' || dest"}
+    periods = ("fi_progress", "cash_flow_top")
+    return " union all ".join(
+        f"select '{name}' as metric, {'null' if metric in periods else 'period'}::date as period,"
+        f" {labels.get(metric, 'null')}::varchar as label, value::double as value from ({sql})"
+        for name, (metric, _, _, sql) in _METRIC_SQL.items()
+    )
+
+
+@query(_all_metrics_sql())
+def dashboard_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """All metrics of the dashboard and its cash flows, from one stored aggregate of the transactions."""
+    house = adapters.with_lookups(spark, sf, ("mart_daily",))
+    out = []
+    for name, (metric, as_of, changes, _) in _METRIC_SQL.items():
+        rows = house.metric(metric, as_of, **changes)
+        period = F.col("period") if "period" in rows.columns else F.lit(None)
+        labels = _labels(rows.columns)
+        label = F.concat_ws(" > ", *labels) if labels else F.lit(None).cast("string")
+        out.append(rows.select(F.lit(name).alias("metric"), period.cast("date").alias("period"), label.alias("label"), F.col("value").cast("double")))
+    return reduce(DataFrame.unionAll, out)
+
+
 @query(
     """select account_id, amount, n_ledger, n_bank,
               case when n_ledger > 0 and n_bank > 0 then n_ledger * n_bank else n_ledger + n_bank end as n_rows
@@ -516,6 +550,101 @@ def _order_documents(spark: SparkSession, sf: str) -> str:
     return root
 
 
+_DOCUMENTS = """
+    documents as (
+        select g, scraped_on, sum(transactions)::bigint as transactions from (
+            select cast(substr(id, 2) as bigint) // 32 as g, scraped_on, 1 as transactions from stg_transaction
+            union all select cast(substr(super_id, 2) as bigint) // 32, scraped_on, 0 from stg_subtransaction)
+        group by all)"""
+
+
+@query(
+    f"""select * from (with {_DOCUMENTS}
+        select 'sound' as kind, null::varchar as detail, count(*) as n_documents, sum(transactions)::bigint as n_transactions
+        from documents where g % 7 not in (0, 3, 4)
+        union all
+        select 'quarantine', if(g % 7 = 3, 'has no budget id', 'does not parse'), count(*), null
+        from documents where g % 7 in (0, 3, 4) group by 2
+        union all
+        select 'unknown field', if(g % 7 = 2, 'colour', 'transactions.weight'), count(*), null
+        from documents where g % 7 = 2 or (g % 7 = 5 and transactions > 0) group by 2)"""
+)
+def budget_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of which some are cut off, drifted in type, belong to no budget, or hold new fields."""
+    raw = budget.read_raw(spark, _order_documents(spark, sf), lines=True)
+    g = F.regexp_extract("value", '"server_knowledge":([0-9]+)', 1).cast("bigint") % 7
+    told = lambda pattern, text: F.regexp_replace("value", pattern, text)
+    value = (
+        F.when(g == 0, F.expr("substring(value, 1, length(value) - 10)"))
+        .when(g == 2, told('"budget":[{]', '"budget":{"colour":"red",'))
+        .when(g == 3, told('"budget":[{]"id":"b[01]"', '"budget":{"name":"x"'))
+        .when(g == 4, told('"server_knowledge":', '"server_knowledge":"new"+'.replace("+", ',"x":')))
+        .when(g == 5, told('"transactions":\\[[{]', '"transactions":[{"weight":1,'))
+        .otherwise(F.col("value"))
+    )
+    root = scratch_dir(spark, "drifted")
+    raw.select(value.alias("value"), "date").write.partitionBy("date").text(f"{root}/by={lake.BUDGET_SOURCE}")
+    raw = budget.read_raw(spark, root, lines=True)
+    documents = budget.checked(raw, "transactions", "subtransactions")
+    nothing = F.lit(None).cast("bigint").alias("n_transactions")
+    size = F.greatest(F.size("data.budget.transactions"), F.lit(0))
+    sound = budget.sound(documents).agg(
+        F.lit("sound").alias("kind"), F.lit(None).cast("string").alias("detail"),
+        F.count("*").alias("n_documents"), F.sum(size).cast("bigint").alias("n_transactions"),
+    )
+    aside = budget.quarantine(documents).groupBy(F.lit("quarantine").alias("kind"), F.col("reason").alias("detail"))
+    unknown = budget.unknown_fields(raw, "transactions", "subtransactions")
+    return (
+        sound.unionAll(aside.agg(F.count("*").alias("n_documents"), nothing))
+        .unionAll(unknown.select(F.lit("unknown field"), "field", "n_documents", nothing))
+    )
+
+
+@query(
+    f"""select 'transaction' as kind, id, amount, description, scraped_on from ({oracle.latest("stg_transaction", "id")})
+        union all
+        select 'part', id, amount, description, scraped_on from ({oracle.latest("stg_subtransaction", "id")})"""
+)
+def stream_budget_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that arrive over three runs; with the last ones come old ones again, with wrong amounts."""
+    text = budget.read_raw(spark, _order_documents(spark, sf), lines=True)
+    g = F.regexp_extract("value", '"server_knowledge":([0-9]+)', 1).cast("bigint")
+    first = F.col("date") == adapters.V1.date().isoformat()
+    run = F.when(~first, 3).otherwise(1 + F.floor(g / 2) % 2)
+    marked = lambda mark: F.regexp_replace("value", F.lit('"server_knowledge":[0-9]+'), F.concat(F.lit('"server_knowledge":'), mark.cast("string")))
+    root = scratch_dir(spark, "stream")
+    sent = text.select(run.cast("int").alias("run"), "date", marked(run).alias("value")).unionByName(
+        text.filter(first & (run == 1)).select(
+            F.lit(3).alias("run"), "date", F.regexp_replace(marked(F.lit(1)), '"amount":', '"amount":7').alias("value")
+        )
+    )
+    sent.write.partitionBy("run", "date").text(f"{root}/sent")
+    kinds = {"transaction": ("transactions", staging.stg_transaction), "part": ("subtransactions", staging.stg_subtransaction)}
+    empty = budget.read_budget(spark, _nothing(spark, root), *(array for array, _ in kinds.values()), lines=True)
+    tables = {
+        kind: snapshots.Merged(
+            stage, versioned.PartTable(spark, f"{root}/{kind}", stage(empty).schema, versioned.by_bucket(["id"], 8)), ("id",)
+        )
+        for kind, (_, stage) in kinds.items()
+    }
+    for n in (1, 2, 3):
+        arrived = spark.read.schema("value string, run int, date date").option("basePath", f"{root}/sent").text(f"{root}/sent/run={n}")
+        arrived.select("value", "date").write.mode("append").partitionBy("date").text(f"{root}/in/by={lake.BUDGET_SOURCE}")
+        for _ in range(2):  # the second run finds nothing new
+            arriving = snapshots.budget_stream(spark, f"{root}/in", *(array for array, _ in kinds.values()))
+            snapshots.merge_documents(arriving, list(tables.values()), snapshots.cursor_table(spark, f"{root}/cursor"), f"{root}/state")
+    shown = [m.table.read().select(F.lit(kind).alias("kind"), "id", "amount", "description", "scraped_on") for kind, m in tables.items()]
+    return shown[0].unionAll(shown[1])
+
+
+def _nothing(spark: SparkSession, root: str) -> str:
+    """A lake with a day without documents."""
+    spark.createDataFrame([("", "2000-01-01")], "value string, date string").write.partitionBy("date").text(
+        f"{root}/nothing/by={lake.BUDGET_SOURCE}"
+    )
+    return f"{root}/nothing"
+
+
 @query(
     """select * replace ('b' || (cast(substr(id, 2) as bigint) // 32) % 2 as budget_id) from stg_transaction"""
 )
@@ -828,41 +957,24 @@ def _built(spark: SparkSession, sf: str) -> Warehouse:
     return adapters.warehouse(spark, sf, store=lake.TableStore(spark, scratch_dir(spark, "warehouse")))
 
 
-def _results(tables: Warehouse, make: Callable[[str, quality.Checks], list[DataFrame]]) -> DataFrame:
-    parts = [df for name, wanted in checks.ALL.items() for df in make(name, wanted)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
-    return out
-
-
 def dq_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Every row check of every table, one pass per table."""
     w = _built(spark, sf)
-    return _results(
-        w,
-        lambda name, wanted: [quality.check_rows(name, w.table(name), wanted)]
-        if quality.row_rules(wanted)
-        else [],
-    )
+    counted = [quality.check_rows(name, w.table(name), wanted) for name, wanted in checks.ALL.items() if quality.row_rules(wanted)]
+    return reduce(DataFrame.unionAll, counted)
 
 
 def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
-    w = _built(spark, sf)
-    return _results(
-        w, lambda name, wanted: [quality.check_unique(name, w.table(name), c) for c in wanted.unique.split()]
-    )
+    """Every unique column of every table, one pass per table and one shuffle."""
+    w, rules = _built(spark, sf), quality.unique_rules(checks.ALL)
+    return quality.check_unique({name: w.table(name) for name, _ in rules}, rules)
 
 
 def dq_relationships(spark: SparkSession, sf: str) -> DataFrame:
-    w = _built(spark, sf)
-    return _results(
-        w,
-        lambda name, wanted: [
-            quality.check_relationship(name, w.table(name), c, w.table(parent), field)
-            for c, (parent, field) in wanted.refers.items()
-        ],
-    )
+    """Every foreign key of every table, one pass per child and one join."""
+    w, rules = _built(spark, sf), quality.reference_rules(checks.ALL)
+    names = {name for child, _, parent, _ in rules for name in (child, parent)}
+    return quality.check_relationships({name: w.table(name) for name in names}, rules)
 
 
 for _run, _sql in (
@@ -926,3 +1038,69 @@ def stream_newest_wins(spark: SparkSession, sf: str) -> DataFrame:
     arriving = snapshots.file_stream(spark, f"{root}/in", legs.schema, max_files=1)
     snapshots.land_newest(arriving, f"{root}/out", f"{root}/state", ["trip_id"], "day", "scraped_on")
     return spark.read.schema(legs.schema).parquet(f"{root}/out").drop("day")
+
+
+_ARRIVALS = """
+    arrivals as (
+        select event_id, ts, user_id, value,
+               (day(ts) - 1) // 6 + case event_id % 20 when 0 then 1 when 1 then 2 else 0 end as batch from events),
+    seen as (select batch, max(ts) as newest from arrivals group by 1),
+    bounds as (select b.batch, max(e.newest) - interval 3 day as bound from seen b join seen e on e.batch < b.batch group by 1)"""
+
+
+@query(
+    f"""with {_ARRIVALS},
+             told as (select a.*, coalesce(ts < bound, false) as is_late from arrivals a left join bounds using (batch))
+        select event_id, ts, user_id, value, is_late, cast(if(is_late, batch, null) as integer) as batch
+        from told, range(2) copy where range = 0 or (is_late and event_id % 3 = 0)"""
+)
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in arrivals of six days each; some come one or two arrivals later, a third of them twice."""
+    root = scratch_dir(spark, "stream")
+    key, delay = F.col("event_id"), F.col("event_id") % 20
+    events = adapters.load(spark, sf, "events").select("event_id", "ts", "user_id", "value")
+    arrival = F.floor((F.dayofmonth("ts") - 1) / 6) + F.when(delay == 0, 1).when(delay == 1, 2).otherwise(0)
+    again = F.explode(F.when(key % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    events.withColumn("arrival", arrival).select("*", again.alias("copy")).drop("copy").write.partitionBy("arrival").parquet(f"{root}/sent")
+    for n in range(7):
+        sent = spark.read.parquet(f"{root}/sent").filter(F.col("arrival") == n).drop("arrival")
+        sent.write.mode("append").parquet(f"{root}/in")
+        arriving = snapshots.file_stream(spark, f"{root}/in", events.schema)
+        snapshots.land_with_late(arriving, f"{root}/out", f"{root}/state", ["event_id"], "ts")
+    landed = snapshots.landed(spark, f"{root}/out", events.schema)
+    late = snapshots.late(spark, f"{root}/out", events.schema).withColumn("is_late", F.lit(True))
+    return landed.withColumn("is_late", F.lit(False)).unionByName(late, allowMissingColumns=True)
+
+
+@query(oracle.latest("stg_trip_leg", "trip_id"))
+def stream_atomic_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Scrapes that arrive in several batches, each published as a whole over the days that it touches."""
+    root = scratch_dir(spark, "stream")
+    legs = adapters.stg_trip_leg(spark, sf)
+    legs.repartition(4, F.xxhash64("trip_id", "scraped_on")).write.parquet(f"{root}/in")
+    arriving = snapshots.file_stream(spark, f"{root}/in", legs.schema, max_files=1)
+    table = versioned.PartTable(spark, f"{root}/out", legs.schema, versioned.by_day("traveled_on"))
+    snapshots.merge_newest(arriving, table, f"{root}/state", ["trip_id"], "scraped_on")
+    return table.read()
+
+
+@query(oracle.latest("stg_transaction", "id"))
+def incremental_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest version of every transaction, kept over three loads that read no more than they touch."""
+    scrapes = adapters.stg_transaction(spark, sf)
+    table = versioned.PartTable(spark, scratch_dir(spark, "newest"), scrapes.schema, versioned.by_bucket(["id"], 16))
+    load = F.pmod(F.xxhash64("id", "scraped_on"), F.lit(3))
+    for n in range(3):
+        table.merge(scrapes.filter(load == n), ["id"], "scraped_on")
+    return table.read()
+
+
+@query(
+    """select 'dev' as target, least(count(*), 100) as n_rows from events
+       union all select 'prod', count(*) from events"""
+)
+def dev_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that a model of a development run and of a production run reads."""
+    events = adapters.load(spark, sf, "events")
+    counted = [dedupe.dev_limit(events, t).agg(F.lit(t).alias("target"), F.count("*").alias("n_rows")) for t in ("dev", "prod")]
+    return counted[0].union(counted[1])
