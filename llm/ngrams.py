@@ -27,7 +27,7 @@ ENTRY_SET = 4  # of these are set, all in one 64-bit word
 SEGMENT_TEXT = 1 << 22  # bytes of training text for each segment
 KEY_BYTES = 5  # of an n-gram's hash in its segment
 MOST_BROADCAST = 1 << 27  # bytes of a filter
-MOST_HEAVY = 1 << 14  # words that hold such a share of all tokens, or more
+MOST_HEAVY = 1 << 18  # frequent words: those that hold 1 / MOST_HEAVY of all tokens, or more
 ROUTED = 32  # segments that one group of requests meets
 PRIOR = 100.0  # strength of the word's own probability, in counts
 BUFFER = 1 << 20  # n-grams that are counted at once
@@ -358,21 +358,25 @@ def _by_route(rows: DataFrame, model: Model, scorer: Scorer, routed: int) -> Dat
     return rows.join(answers, "row").select("row", "doc_id", "learned", "text", "answers").mapInArrow(run, _SCORED)
 
 
-def score(docs: DataFrame, model: Model, learned: Column, most: int = MOST_BROADCAST, routed: int = ROUTED) -> DataFrame:
+def score(docs: DataFrame, model: Model, learned: Column, most: int = MOST_BROADCAST, routed: int = ROUTED, heavy: int = MOST_HEAVY) -> DataFrame:
     """Every row's doc_id, learned, n_tokens, n_known, train_tokens, base_score and score.
 
     Texts are lower-cased A-Z; their tokens are words and one end. A null or empty text is its end
     alone. ``learned`` is handed through. Repeated rows, and rows without a doc_id, are scored each
     for itself. A filter of over ``most`` bytes isn't broadcast; the scores are the same. A model
-    without tokens gives every token the probability 1. Columns but doc_id and text are not read.
+    without tokens gives every token the probability 1. At most ``heavy`` words are broadcast with
+    their exact counts. Columns but doc_id and text are not read.
     """
-    frequent = model.counts.filter(F.col("n") * MOST_HEAVY >= F.lit(model.tokens)).collect()  # MOST_HEAVY rows at most
-    heavy = sorted((r["key"] % (1 << 64), r["n"]) for r in frequent) or [(0, 0)]
-    scorer = Scorer(model.tokens, model.words, np.array([k for k, _ in heavy], np.uint64), np.array([n for _, n in heavy]))
+    often = F.col("n") * heavy >= F.lit(model.tokens)
+    frequent = model.counts.filter(often).toArrow()  # ``heavy`` rows of two numbers at most
+    key, n = (np.asarray(frequent[c].combine_chunks()) for c in ("key", "n"))
+    key, n = (key.astype(np.int64).view(np.uint64), n) if len(key) else (np.zeros(1, np.uint64), np.zeros(1, np.int64))
+    order = np.argsort(key)
+    scorer = Scorer(model.tokens, model.words, key[order], n[order])
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), learned.alias("learned"), F.col("text").cast("string"))
     scored = store(_by_broadcast(rows, model, scorer) if model.size <= most else _by_route(rows, model, scorer, routed), "scored")
     items = scored.select("row", F.explode("items").alias("item")).select("row", "item.*")
-    rare = model.counts.filter(F.col("n") * MOST_HEAVY < F.lit(model.tokens)).select("key", F.col("n").alias("count"))
+    rare = model.counts.filter(~often).select("key", F.col("n").alias("count"))
     sums = items.join(rare, "key").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("count") + 1)).alias("more_gain"))
     gain = F.col("gain") + F.coalesce("more_gain", F.lit(0.0))
     return scored.join(sums, "row", "left").select(

@@ -75,13 +75,13 @@ def brute_force(rows, model):
     return out
 
 
-@pytest.mark.parametrize("most", [ngrams.MOST_BROADCAST, 0])
-def test_against_brute_force(spark, most):
+@pytest.mark.parametrize("most, heavy", [(ngrams.MOST_BROADCAST, 20), (0, ngrams.MOST_HEAVY)])
+def test_against_brute_force(spark, most, heavy):
     rows = table()
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, row string, key int")
     learned = ~ngrams.held_out()
     model = ngrams.train(docs.filter(learned))
-    got = ngrams.score(docs, model, learned, most).collect()
+    got = ngrams.score(docs, model, learned, most, heavy=heavy).collect()
     want = brute_force(rows, model)
     mine = sorted(((r.doc_id, not r.learned, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got), key=lambda r: (str(r[0]), r[2], r[5]))
     theirs = sorted(((d, is_held_out(d), n, known, total, base, score) for (d, _), (base, score, n, known, total) in zip(rows, want)), key=lambda r: (str(r[0]), r[2], r[5]))
@@ -98,7 +98,7 @@ def test_both_ways_are_the_same(spark, rows):
     model = ngrams.train(docs.filter("doc_id % 8 > 0"))
     assert model.segments > 1
     learned = F.col("doc_id") % 8 > 0
-    one, other = (rows(ngrams.score(docs, model, learned, most, 1)) for most in (ngrams.MOST_BROADCAST, 0))
+    one, other = (rows(ngrams.score(docs, model, learned, most, 1, 1 << 14)) for most in (ngrams.MOST_BROADCAST, 0))
     assert [r[:5] for r in one] == [r[:5] for r in other]
     assert np.allclose([r[6] for r in one], [r[6] for r in other], rtol=1e-12)
 
