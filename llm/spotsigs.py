@@ -1,13 +1,12 @@
 """Document fingerprints by SpotSigs: chains of content words that follow common-word anchors.
 
-Each anchor of a text, with the next CHAIN words that are no anchors, is a signature; a
-document's set of them ignores navigation, lists and other text without running prose. Each text
-also has a wide set, for which a quarter of all words, by their hash, are anchors beside the common
-ones. Both rules look at one word at a time, so that a passage gives the same signatures whatever
-else its text holds. A pair is compared by the first sets where both texts have one, however
-small, and otherwise by the wide ones, so never by one of each. Sets are
-partitioned by their length, and two of them compared only if their lengths allow a likeness of
-LEAST; the comparison itself is the Jaccard similarity of the full sets.
+Each anchor of a text, with the next CHAIN words that are no anchors, is a signature; a document's
+set of them ignores much of what navigation and lists repeat. Anchors are common words, and of all
+other words a fixed quarter by their hash, so that texts without common words have signatures too.
+That is one rule for every word of every text: a passage gives the same signatures whatever else
+its text holds, and any two sets can be compared. Sets are partitioned by their length, and two of
+them compared only if their lengths allow the likeness that is asked for; the comparison itself is
+the Jaccard similarity of the full sets.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +24,6 @@ from llm.tables import runs, shuffle_partitions
 from llm.words import Block, blocks, byte_hashes, mix
 
 CHAIN = 2
-LEAST = 0.01  # likeness below which lengths that far apart count as 0
 SLICE_BYTES = 1 << 21  # of text that is compared at once
 SKETCH = 16  # smallest signatures shown in a fingerprint
 
@@ -59,8 +56,16 @@ def stems(b: Block) -> np.ndarray:
     return byte_hashes(b.data, b.start, np.where(end > b.start, end, b.end))
 
 
-def _signatures(b: Block, words: np.ndarray, text: np.ndarray, anchor: np.ndarray) -> list[np.ndarray]:
+def anchors(words: np.ndarray) -> np.ndarray:
+    """Which words, by their hashes, are anchors."""
+    return np.isin(words, _ANCHOR_HASHES) | (words % np.uint64(4) == 0)
+
+
+def _signatures(b: Block) -> list[np.ndarray]:
     """Sorted signatures of each text of a block."""
+    words = stems(b)
+    text = np.repeat(np.arange(b.texts), b.counts)
+    anchor = anchors(words)
     content, spots = np.flatnonzero(~anchor), np.flatnonzero(anchor)
     first = np.searchsorted(content, spots)
     full = first + CHAIN <= len(content)
@@ -74,42 +79,17 @@ def _signatures(b: Block, words: np.ndarray, text: np.ndarray, anchor: np.ndarra
     return [np.unique(value[at[i] : at[i + 1]]) for i in range(b.texts)]
 
 
-@dataclass
-class Signatures:
-    """A text's sets: after common words, and after those and hashed words."""
-
-    common: np.ndarray
-    wide: np.ndarray
-
-
-def signatures(column: pa.Array) -> list[Signatures]:
-    """Both sets of each text."""
-    out = []
-    for b in blocks(column, lower=True):
-        words = stems(b)
-        text = np.repeat(np.arange(b.texts), b.counts)
-        anchor = np.isin(words, _ANCHOR_HASHES)
-        common = _signatures(b, words, text, anchor)
-        wide = _signatures(b, words, text, anchor | (words % np.uint64(4) == 0))
-        out += [Signatures(*x) for x in zip(common, wide, strict=True)]
-    return out
-
-
 def signature_sets(column: pa.Array) -> list[np.ndarray]:
-    """Sorted signatures of each text after common words."""
-    return [s.common for s in signatures(column)]
+    """Sorted signatures of each text."""
+    return [s for b in blocks(column, lower=True) for s in _signatures(b)]
 
 
-def _mark(signatures: np.ndarray) -> str:
-    digest = hashlib.blake2b(signatures.tobytes(), digest_size=16).hexdigest() if len(signatures) else ""
-    return f"{len(signatures)}-{digest}-{''.join(f'{x >> 32:08x}' for x in signatures[:SKETCH].tolist())}"
-
-
-def fingerprint(s: Signatures, text: str) -> str:
-    """Of either set its length, digest and smallest members; without signatures, the digest of the text."""
-    if not len(s.common) and not len(s.wide):
+def fingerprint(signatures: np.ndarray, text: str) -> str:
+    """Length, digest and smallest members of a set; without signatures, the digest of the text."""
+    if not len(signatures):
         return f"0-{hashlib.blake2b(text.encode(), digest_size=16).hexdigest() if text else ''}-"
-    return f"{_mark(s.common)}/{_mark(s.wide)}"
+    digest = hashlib.blake2b(signatures.tobytes(), digest_size=16).hexdigest()
+    return f"{len(signatures)}-{digest}-{''.join(f'{x >> 32:08x}' for x in signatures[:SKETCH].tolist())}"
 
 
 def part(length: int) -> int:
@@ -117,25 +97,14 @@ def part(length: int) -> int:
     return int(math.log(length, 1.5)) if length else -1
 
 
-# lengths that far apart can't reach LEAST
-_REACH = math.ceil(math.log(1 / LEAST, 1.5))
-
-
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two signature sets, 0 if their lengths rule out LEAST."""
-    if not len(a) or not len(b) or abs(part(len(a)) - part(len(b))) > _REACH:
+def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
+    """Jaccard similarity of two signature sets, or 0 if their partitions are too far apart for ``least``."""
+    if not len(a) or not len(b) or (least and abs(part(len(a)) - part(len(b))) > math.ceil(math.log(1 / least, 1.5))):
         return 0.0
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both / (len(a) + len(b) - both)
 
 
-def near(a: Signatures, b: Signatures) -> float:
-    """Likeness of two texts by sets of one rule."""
-    if len(a.common) and len(b.common):
-        return likeness(a.common, b.common)
-    return likeness(a.wide, b.wide)
-
-
 _RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
@@ -163,13 +132,13 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(own):
             half = len(texts[i]) // 2
             edited.append(texts[i][: len(texts[i]) - half] + texts[i + 1][:half])
-        sets = signatures(pa.array(texts[: own + 1], pa.large_string()))
-        changed = signatures(pa.array(edited, pa.large_string()))
+        sets = signature_sets(pa.array(texts[: own + 1], pa.large_string()))
+        changed = signature_sets(pa.array(edited, pa.large_string()))
         marks = [fingerprint(s, x) for s, x in zip(sets, texts, strict=False)]
         new_marks = [fingerprint(s, x) for s, x in zip(changed, edited, strict=True)]
 
         def alike(i, marks_b, sets_b, j):
-            return 1.0 if marks[i] == marks_b[j] else near(sets[i], sets_b[j])
+            return 1.0 if marks[i] == marks_b[j] else likeness(sets[i], sets_b[j])
 
         yield pa.RecordBatch.from_arrays(
             [

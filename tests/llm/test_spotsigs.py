@@ -1,9 +1,11 @@
 """Fingerprints: edited texts and order against a plain version, likeness against sets of strings."""
 
+import functools
 import hashlib
 import re
 import string
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -13,14 +15,20 @@ WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
+@functools.cache
+def is_anchor(word):
+    return word in spotsigs.ANCHORS or int(spotsigs._word_hashes([word])[0]) % 4 == 0
+
+
 def brute_set(text):
     words = [w.rstrip(string.punctuation) or w for w in WORDS.findall((text or "").translate(LOWER))]
-    out = set()
-    for i, w in enumerate(words):
-        if w in spotsigs.ANCHORS:
-            chain = [x for x in words[i + 1 :] if x not in spotsigs.ANCHORS][: spotsigs.CHAIN]
-            if len(chain) == spotsigs.CHAIN:
-                out.add((w, *chain))
+    out, ahead = set(), []
+    for w in reversed(words):
+        if is_anchor(w):
+            if len(ahead) == spotsigs.CHAIN:
+                out.add((w, *ahead))
+        else:
+            ahead = [w, *ahead][: spotsigs.CHAIN]
     return out
 
 
@@ -42,9 +50,9 @@ def check(rows, texts):
         for near, other in ((r.near_edited, new), (r.near_next, after)):
             a, b = brute_set(text), brute_set(other)
             if a and b:
-                assert near == pytest.approx(len(a & b) / len(a | b), abs=spotsigs.LEAST)
-            elif text == other:
-                assert near == 1
+                assert near == pytest.approx(len(a & b) / len(a | b), abs=1e-12)
+            else:
+                assert near == (not a and not b and text == other)
 
 
 def fingerprints(spark, rows):
@@ -53,17 +61,25 @@ def fingerprints(spark, rows):
 
 
 def test_signatures_are_chains_after_anchors():
-    text = "The cat. of the RED dog, and a bird!"
+    text = "The cat. of the RED dog, and a bird! On green hills sat small people, in towns by wide rivers"
     (got,) = spotsigs.signature_sets(pa.array([text]))
-    assert len(got) == len(brute_set(text)) == 3
+    assert len(got) == len(brute_set(text)) >= 3
     assert len(spotsigs.signature_sets(pa.array(["", None, "the", "the cat"]))) == 4
 
 
 def test_lengths_prune_only_hopeless_pairs():
-    for a in range(1, 400):
-        for b in range(a, 400, 7):
-            if a / b >= spotsigs.LEAST:
-                assert abs(spotsigs.part(a) - spotsigs.part(b)) <= spotsigs._REACH
+    for least in (0.01, 0.3, 0.75):
+        for a in range(1, 400):
+            for b in range(a, 400, 7):
+                if a / b >= least:
+                    assert spotsigs.likeness(np.arange(a), np.arange(b), least) == pytest.approx(a / b)
+    assert spotsigs.likeness(np.arange(2), np.arange(300), 0.5) == 0 < spotsigs.likeness(np.arange(2), np.arange(300))
+
+
+def test_one_word_does_not_change_the_rule():
+    text = " ".join(f"word{i}" for i in range(400))
+    one, other = spotsigs.signature_sets(pa.array([f"{text} the x1 x2", f"{text} the x1 x3"]))
+    assert spotsigs.likeness(one, other) > 0.9
 
 
 def test_edges_of_buckets_and_odd_texts(spark):
@@ -91,8 +107,8 @@ def test_a_shared_half_counts_whatever_the_other_half_holds(spark, common):
     other = " ".join(f"{(common.split() or ['x'])[i % max(1, len(common.split()))]} thing{i} stuff{i}" if common != "the" or i == 7 else f"thing{i} stuff{i}" for i in range(200))
     rows = {r.doc_id: r for r in fingerprints(spark, [(2, bare, "b"), (1, other, "b")])}
     assert rows[2].near_edited > 0.2
-    whole, half = spotsigs.signatures(pa.array([bare, bare + " " + other]))
-    assert len(whole.wide) and len(set(whole.wide.tolist()) - set(half.wide.tolist())) <= 2
+    whole, half = spotsigs.signature_sets(pa.array([bare, bare + " " + other]))
+    assert len(whole) and len(set(whole.tolist()) - set(half.tolist())) <= 2
 
 
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
