@@ -30,7 +30,7 @@ MOST_BROADCAST = 1 << 27  # bytes of a filter
 MOST_HEAVY = 1 << 18  # frequent words: those that hold 1 / MOST_HEAVY of all tokens, or more
 ROUTED = 32  # segments that one group of requests meets
 PRIOR = 100.0  # strength of the word's own probability, in counts
-BUFFER = 1 << 20  # n-grams that are counted at once
+BUFFER = 1 << 19  # n-grams that are counted at once
 
 _START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -266,17 +266,19 @@ class Scorer:
 
 def _by_broadcast(rows: DataFrame, model: Model, scorer: Scorer) -> DataFrame:
     """Rows (row, doc_id, learned, text) scored by tasks that hold the whole filter."""
-    parts = [np.zeros(0, np.uint64)] * model.segments
+    parts = [b""] * model.segments
     for r in model.filter.toLocalIterator():
-        parts[r["segment"]] = np.frombuffer(r["words"], np.uint64)
-    whole = Filter(np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])]))
+        parts[r["segment"]] = bytes(r["words"])
+    at = np.cumsum([0, *(len(p) // 8 for p in parts)])
+    # as plain bytes, which a worker reads into place; an array would be copied once more
+    held, segments = rows.sparkSession.sparkContext.broadcast(b"".join(parts)), model.segments
     del parts
-    held, segments = rows.sparkSession.sparkContext.broadcast(whole), model.segments
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = Filter(np.frombuffer(held.value, np.uint64), at)
         for batch in batches:
             for b in blocks(batch.column(3), lower=True):
-                yield scorer.batch(batch, b.first, grams(b), lambda key: held.value.levels(key, segment_of(key, segments)))
+                yield scorer.batch(batch, b.first, grams(b), lambda key: whole.levels(key, segment_of(key, segments)))
 
     return rows.mapInArrow(run, _SCORED)
 
