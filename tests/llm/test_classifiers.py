@@ -106,3 +106,34 @@ def test_licences_of_wrapped_notices(spark, tables):
     assert sorted((r.doc_id, r.family, r.paragraph) for r in got if r.doc_id is not None and r.doc_id < 1000) == [(i, f, 2) for i, (f, _) in enumerate(texts)]
     assert sorted((r.paragraph, r.family) for r in got if r.doc_id == 1000) == [(0, "MIT"), (1, "CC BY")]
     assert [r.family for r in got if r.doc_id is None] == ["MPL"] * 2
+
+
+def test_licences_of_no_family_are_not_given_as_a_relative(spark, tables):
+    docs, _ = tables
+    scanner = licences.train(docs)
+    strangers = [
+        *licences.STRANGERS,
+        "This library is licensed under the GNU Affero General Public License, version 3.",
+        "All texts are licensed under CC BY-SA 4.0, see below.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License. Thank you.",
+    ]
+    denied = ["This work is not licensed under the MIT License.", "This software is not licensed under the GNU General Public License, version 3."]
+    rows = [(i, f"Some words first.\n\n{t}\n\nand more.", 0, "") for i, t in enumerate(strangers)]
+    rows += [(500 + i, t, 0, "") for i, t in enumerate(denied)] + [(600, "x\nSPDX-License-Identifier: MIT", 0, "")]
+    got = {}
+    for r in licences.scan(spark.createDataFrame(rows, DOCS), scanner).collect():
+        got.setdefault(r.doc_id, []).append(r.family)
+    assert [got.get(i) for i in range(len(strangers))] == [[licences.UNKNOWN]] * len(strangers)
+    assert not any(set(got.get(500 + i, [])) & set(licences.FAMILIES) for i in range(len(denied)))
+    assert got[600] == ["MIT"]
+
+
+def test_licences_in_odd_tables(spark, tables):
+    docs, _ = tables
+    scanner = licences.train(docs)
+    kind = "doc_id long, text string, hits int, family string"
+    assert licences.scan(spark.createDataFrame([], kind), scanner).collect() == []
+    long = "word " * 100_000 + "\nReleased under the MIT License.\n" + "more words\n" * 20_000
+    got = licences.scan(spark.createDataFrame([(1, long, 5, "x"), (2, None, None, None)], kind), scanner).collect()
+    assert [(r.doc_id, r.paragraph, r.family) for r in got] == [(1, 1, "MIT")]
+    assert licences.train(docs.limit(0)).level >= licences.LEAST_LEVEL
