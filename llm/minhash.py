@@ -30,6 +30,7 @@ NEED = 75  # percent of the union
 HASHES, BANDS, STEP = 128, 32, 32
 MISS = 1e-7  # chance of pruning a pair that reaches the threshold
 BLOCK = 512  # members, or queries, of a bucket that meet in one task
+SETS_AT_ONCE = 64  # full sets that a worker gets in one batch
 
 _ROWS = HASHES // BANDS
 _FACTORS = (np.random.default_rng(5).integers(1, 1 << 32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -183,8 +184,10 @@ def _pairs_of(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         hub = t["hub"][0].as_py()
         keep &= (ids[a] != hub) & (ids[b] != hub)
         a, b = a[keep], b[keep]
-        first = (marks[a] == marks[b]).reshape(-1, BANDS, _ROWS).all(2).argmax(1)
-        keep = first == band
+        keep = np.zeros(len(a), bool)
+        for at in range(0, len(a), 1 << 14):  # bounds what is compared at once
+            few = slice(at, at + (1 << 14))
+            keep[few] = (marks[a[few]] == marks[b[few]]).reshape(-1, BANDS, _ROWS).all(2).argmax(1) == band
     return ids, a[keep], b[keep]
 
 
@@ -200,7 +203,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (a, b) of a block that hold on the full sets, without those that close a cycle."""
     for t in runs(batches, "key", "block"):
         ids, left, right = _pairs_of(t)
-        sets = [np.frombuffer(x, np.uint64) for x in t["items"].to_pylist()]
+        items = t["items"]  # read where they lie, without a copy of the block
         comp = np.asarray(t["comp"])
         parent = {c: c for c in comp.tolist()}
 
@@ -215,8 +218,9 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = top(int(comp[i])), top(int(comp[j]))
             if x == y:
                 continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= NEED * (len(sets[i]) + len(sets[j]) - both):
+            one, other = (np.frombuffer(items[k].as_buffer(), np.uint64) for k in (i, j))
+            both = len(np.intersect1d(one, other, assume_unique=True))
+            if 100 * both >= NEED * (len(one) + len(other) - both):
                 parent[x] = y
                 links.append((ids[i], ids[j]))
         if links:
@@ -246,6 +250,7 @@ def _compare(rows: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
         .sortWithinPartitions(*order)
         .mapInArrow(_verified, "a long, b long"),
         "links",
+        SETS_AT_ONCE,
     )
 
 

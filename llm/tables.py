@@ -31,11 +31,23 @@ def shipped(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return query
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
-    """Write to a fresh shared folder and read again: lineage ends there, and sizes are known."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def store(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
+    """Write to a fresh shared folder and read again: lineage ends there, and sizes are known.
+
+    ``batch_rows`` bounds the rows that Python workers get at once while this is written, for rows
+    that may be large; Spark's own bound is meant for small ones.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        if batch_rows:
+            spark.conf.set(name, str(min(batch_rows, int(before)) if int(before) > 0 else batch_rows))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
