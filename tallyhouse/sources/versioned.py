@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tallyhouse.operators.dedupe import latest_per_key
-from tallyhouse.session import scratch_dir
+from tallyhouse.session import drop_dir, scratch_dir
 
 _LOG = "_part string, _version long, n_rows long"
 
@@ -84,7 +84,7 @@ class PartTable:
         # what a lost run has left in the folder was never published, and goes
         self.tagged(df).hint("rebalance", "_part").write.mode("overwrite").option(
             "partitionOverwriteMode", "static"
-        ).partitionBy("_part").parquet(folder)
+        ).option("compression", "zstd").partitionBy("_part").parquet(folder)
         written = self.spark.read.schema(f"{self.schema.toDDL()}, _part string").parquet(folder)
         counts = written.groupBy("_part").agg(F.count("*").alias("n_rows"))
         emptied = self.spark.createDataFrame([(p,) for p in parts], "_part string").withColumn("n_rows", F.lit(0).cast("long"))
@@ -99,15 +99,17 @@ class PartTable:
         """Keep the newest version of every key, reading no more than the parts that ``arrived`` touches.
 
         A key must not change its part. What arrives is made unique and written aside first: it is
-        as large as the delta. ``ties`` (ascending) decide between equally new versions.
+        as large as the delta, and goes once the merge is published. ``ties`` (ascending) decide between
+        equally new versions.
         """
         version = self.last() + 1 if version is None else version
         if version <= self.last():
             return
         aside = scratch_dir(self.spark, "delta")
-        self.tagged(latest_per_key(arrived.select(*self.schema.names), keys, newest, ties)).write.parquet(aside)
+        self.tagged(latest_per_key(arrived.select(*self.schema.names), keys, newest, ties)).write.option("compression", "zstd").parquet(aside)
         delta = self.spark.read.schema(f"{self.schema.toDDL()}, _part string").parquet(aside)
         touched = [r["_part"] for r in delta.select("_part").distinct().collect()]
         if touched:
             both = self.read(touched).unionByName(delta.drop("_part"))
             self.replace(latest_per_key(both, keys, newest, ties), version)
+        drop_dir(self.spark, aside)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functi
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tallyhouse.operators.dedupe import first_per_key, oldest
-from tallyhouse.session import scratch_dir
+from tallyhouse.session import drop_dir as _drop, scratch_dir
 from tallyhouse.sources.budget import document_schema
 from tallyhouse.sources.incremental import merge_days
 from tallyhouse.sources.lake import BUDGET_SOURCE
@@ -216,12 +216,6 @@ def late(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return _of_kind(spark, path, schema, "late").select(*schema.names, F.col("_batch").alias("batch"))
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    """Remove a folder of the shared storage, if it is there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def land(
     stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
 ) -> None:

@@ -246,3 +246,17 @@ def test_documents_at_fault_are_put_aside(spark, rows, tmp_path):
     at_fault = [(budget.UNREADABLE, lines[2]), (budget.NO_BUDGET, lines[3]), (budget.UNREADABLE, lines[4]), (budget.UNREADABLE, lines[5])]
     assert aside == sorted(at_fault, key=repr)
     assert rows(budget.unknown_fields(raw, "accounts")) == [("accounts.colour", 1), ("theme", 1)]
+
+
+def test_documents_are_written_compressed_in_bounded_files(spark, monkeypatch):
+    import gzip
+    import os
+
+    from workload import queries
+
+    monkeypatch.setattr(queries, "FILE_DOCUMENTS", 3)
+    root = queries._order_documents(spark, "/root/testdata/sf0.001")
+    files = [os.path.join(d, f) for d, _, names in os.walk(root.removeprefix("file://")) for f in names if f.startswith("part-")]
+    counts = [len(gzip.open(f).read().splitlines()) for f in files]
+    assert all(f.endswith(".gz") for f in files) and max(counts) <= 3
+    assert sum(counts) == budget.read_raw(spark, root, lines=True).count() > 3

@@ -110,3 +110,11 @@ def test_null_and_empty(spark, table, put, rows):
     assert rows(table.read()) == [] and isinstance(table.read().schema, StructType)
     table.merge(put((None, None, None, 1), (None, None, 2, 2)), ["id"], "scraped_on")
     assert rows(table.read(), "v") == [(2,)]
+
+
+def test_a_merge_leaves_nothing_aside(table, put, rows, monkeypatch, tmp_path):
+    monkeypatch.setattr(versioned, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    table.merge(put(("a", D1, 1, 1), ("a", D1, 2, 2)), ["id"], "scraped_on")
+    assert not (tmp_path / "delta").exists()
+    table.merge(put(), ["id"], "scraped_on")
+    assert not (tmp_path / "delta").exists() and rows(table.read(), "v") == [(2,)]

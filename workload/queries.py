@@ -519,6 +519,13 @@ def stg_subtransaction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 DOCUMENT_ORDERS = 32  # order keys that share a document
+FILE_DOCUMENTS = 2000  # a compressed file is read by one task, so its documents are bounded
+
+
+def _write_documents(text: DataFrame, root: str, mode: str = "errorifexists") -> None:
+    """Documents (value, date), one per line, as compressed files of day folders: text takes several times as much."""
+    writer = text.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", FILE_DOCUMENTS)
+    writer.partitionBy("date").text(f"{root}/by={lake.BUDGET_SOURCE}")
 
 
 def _order_documents(spark: SparkSession, sf: str) -> str:
@@ -545,8 +552,8 @@ def _order_documents(spark: SparkSession, sf: str) -> str:
     fields = [F.concat(F.lit("b"), c("g") % 2).alias("id"), *shown]
     document = F.struct(F.struct(*fields).alias("budget"), c("g").alias("server_knowledge"))
     root = scratch_dir(spark, "budget")
-    documents = arrays.select(document.alias("data"), c("scraped_on").cast("date").alias("date"))
-    documents.write.partitionBy("date").json(f"{root}/by={lake.BUDGET_SOURCE}")
+    text = F.to_json(F.struct(document.alias("data"))).alias("value")
+    _write_documents(arrays.select(text, c("scraped_on").cast("date").alias("date")), root)
     return root
 
 
@@ -583,7 +590,7 @@ def budget_quarantine(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.col("value"))
     )
     root = scratch_dir(spark, "drifted")
-    raw.select(value.alias("value"), "date").write.partitionBy("date").text(f"{root}/by={lake.BUDGET_SOURCE}")
+    _write_documents(raw.select(value.alias("value"), "date"), root)
     raw = budget.read_raw(spark, root, lines=True)
     documents = budget.checked(raw, "transactions", "subtransactions")
     nothing = F.lit(None).cast("bigint").alias("n_transactions")
@@ -618,7 +625,6 @@ def stream_budget_snapshots(spark: SparkSession, sf: str) -> DataFrame:
             F.lit(3).alias("run"), "date", F.regexp_replace(marked(F.lit(1)), '"amount":', '"amount":7').alias("value")
         )
     )
-    sent.write.partitionBy("run", "date").text(f"{root}/sent")
     kinds = {"transaction": ("transactions", staging.stg_transaction), "part": ("subtransactions", staging.stg_subtransaction)}
     empty = budget.read_budget(spark, _nothing(spark, root), *(array for array, _ in kinds.values()), lines=True)
     tables = {
@@ -628,8 +634,7 @@ def stream_budget_snapshots(spark: SparkSession, sf: str) -> DataFrame:
         for kind, (_, stage) in kinds.items()
     }
     for n in (1, 2, 3):
-        arrived = spark.read.schema("value string, run int, date date").option("basePath", f"{root}/sent").text(f"{root}/sent/run={n}")
-        arrived.select("value", "date").write.mode("append").partitionBy("date").text(f"{root}/in/by={lake.BUDGET_SOURCE}")
+        _write_documents(sent.filter(F.col("run") == n).select("value", "date"), f"{root}/in", "append")
         for _ in range(2):  # the second run finds nothing new
             arriving = snapshots.budget_stream(spark, f"{root}/in", *(array for array, _ in kinds.values()))
             snapshots.merge_documents(arriving, list(tables.values()), snapshots.cursor_table(spark, f"{root}/cursor"), f"{root}/state")
