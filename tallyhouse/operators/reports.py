@@ -43,7 +43,8 @@ def cells(grid: DataFrame) -> list[str]:
 def sheet_heads(grid: DataFrame, layout: SheetLayout) -> DataFrame:
     """One row per file: metadata values, currency and the table's header names.
 
-    Only the few rows above the table are read into this aggregation.
+    Only the few rows above the table are read into this aggregation. It sorts, as its values are
+    texts, so its rows are dealt out by file first: a task that reads many files would sort them all.
     """
     row, c0, c1 = F.col("row_no"), F.col("c0"), F.col("c1")
     in_block = row.between(layout.first_metadata_row, layout.last_metadata_row)
@@ -53,6 +54,7 @@ def sheet_heads(grid: DataFrame, layout: SheetLayout) -> DataFrame:
 
     return (
         grid.filter(row <= layout.header_row)
+        .repartition("file")
         .groupBy("file")
         .agg(
             *[pick(in_block & (F.btrim(c0, F.lit(":")) == key), c1).alias(key) for key in layout.metadata],

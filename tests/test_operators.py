@@ -346,3 +346,16 @@ def test_row_checks_read_the_table_once(spark):
     df = spark.range(10).withColumn("n", F.col("id"))
     out = quality.check_rows("t", df, quality.Checks("id n", ranges={"n": quality.Range(0)}))
     assert plan(out).count("Range (0, 10") == 1
+
+
+def test_sheet_heads_are_dealt_out_before_they_are_sorted(spark):
+    from tallyhouse.operators.reports import SheetLayout, sheet_heads
+
+    names = [f"c{i}" for i in range(5)]
+    grid = spark.range(0, 700, 1, 1).select(
+        F.concat(F.lit("f"), F.floor(F.col("id") / 7)).alias("file"), (F.col("id") % 7).alias("row_no"), *(F.lit(n).alias(n) for n in names)
+    )
+    heads = sheet_heads(grid, SheetLayout())
+    plan = heads._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "Aggregate" in plan and "Aggregate" not in plan[plan.index("Exchange"):]
+    assert heads.count() == 100 and heads.filter("Currency = 'c2' and head_c1 = 'c1'").count() == 100
