@@ -71,7 +71,9 @@ class TableStore:
         return f"{self.root.rstrip('/')}/{name}"
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(name))
+        # keys are hashes in hex, which need half the bytes under a codec with entropy coding
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+        writer.parquet(self.path(name))
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:

@@ -375,3 +375,19 @@ def test_a_time_range_in_the_options_counts(spark, rows):
     day = (dt.date(1996, 1, 1), dt.date(1996, 3, 1))
     w.options = replace(w.options, metric_ranges={"income": day})
     assert [r[0] for r in rows(w.metric("income"), "period")] == [dt.date(1996, 1, 1), dt.date(1996, 2, 1)]
+
+
+def test_versions_of_an_entity_share_the_exchange_that_deals_them_out(spark):
+    sf = "/root/testdata/sf0.001"
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    staged, passed = adapters.staging(spark, sf), adapters.staging(spark, sf, passed=True)
+    for name, newest in (("stg_transaction", facts.int_unique_transaction), ("stg_subtransaction", facts.int_unique_subtransaction)):
+        assert exchanges(newest(getattr(staged, name))) == 1
+        assert exchanges(getattr(passed, name)) == 0
+        assert getattr(passed, name).exceptAll(getattr(staged, name)).count() == 0
+    assert exchanges(passed.stg_trip_leg) == 0
+
+
+def test_stored_models_are_written_with_entropy_coding(spark, tmp_path):
+    stored = TableStore(spark, str(tmp_path)).write("t", spark.range(10))
+    assert stored.count() == 10 and all(f.endswith(".zstd.parquet") for f in stored.inputFiles())

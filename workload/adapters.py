@@ -36,14 +36,15 @@ OPTIONS = Options(
 NATURAL_KEYS = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_partkey"], "events": ["event_id"]}
 
 
-def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def load(spark: SparkSession, sf_dir: str, table: str, dealt: bool = True) -> DataFrame:
     """A test table, one file or many.
 
     Large tables are dealt out by their natural key, however they are stored: a file can have few
-    row groups, and Spark reuses the exchange where a query reads the table more than once.
+    row groups, and Spark reuses the exchange where a query reads the table more than once. Rows that
+    are only passed on or summed up need not be ``dealt``.
     """
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return df.repartition(*NATURAL_KEYS[table]) if table in NATURAL_KEYS else df
+    return df.repartition(*NATURAL_KEYS[table]) if dealt and table in NATURAL_KEYS else df
 
 
 def _id(prefix: str, number: Column) -> Column:
@@ -138,7 +139,7 @@ def stg_budget_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = (F.col("l_partkey") % 50).alias("n")
     month = month_start(F.to_date("l_shipdate")).alias("budget_month")
     sums = (
-        load(spark, sf_dir, "lineitem")
+        load(spark, sf_dir, "lineitem", dealt=False)
         .groupBy(n, month)
         .agg(F.sum(_dec("l_extendedprice")).cast(MONEY).alias("budget_amount"))
     )
@@ -174,7 +175,13 @@ def stg_category_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stg_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _by_id(df: DataFrame, entity: Column, by_id: bool) -> DataFrame:
+    """Adds ``id``, and deals rows out by it: their versions then stand together, without a second exchange."""
+    keyed = df.withColumn("id", entity)
+    return keyed.repartition("id") if by_id else keyed
+
+
+def stg_transaction(spark: SparkSession, sf_dir: str, dealt: bool = True, by_id: bool = False) -> DataFrame:
     key, owner = F.col("o_orderkey"), F.col("o_custkey")
     price = _dec("o_totalprice").cast(MONEY)
     status = (
@@ -182,8 +189,9 @@ def stg_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "O", "uncleared")
         .otherwise("reconciled")
     )
-    return _scraped(load(spark, sf_dir, "orders"), key % 5 == 0).select(
-        _id("t", key).alias("id"),
+    orders = _by_id(load(spark, sf_dir, "orders", dealt and not by_id), _id("t", key), by_id)
+    return _scraped(orders, key % 5 == 0).select(
+        "id",
         F.when(key % 3 == 0, price).otherwise(-price).cast(MONEY).alias("amount"),
         _id("ref-", key % 1000).alias("description"),
         status.alias("clearing_status"),
@@ -200,7 +208,7 @@ def stg_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stg_subtransaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stg_subtransaction(spark: SparkSession, sf_dir: str, dealt: bool = True, by_id: bool = False) -> DataFrame:
     """All line items, as parts of every fourth order."""
     parent = F.col("l_orderkey") - F.col("l_orderkey") % 4
     line = F.col("l_linenumber")
@@ -208,8 +216,9 @@ def stg_subtransaction(spark: SparkSession, sf_dir: str) -> DataFrame:
         "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate").cast("string")
     )
     merged = (parent % 20 == 0) & (line % 2 == 0)
-    return _scraped(load(spark, sf_dir, "lineitem"), F.col("l_partkey") % 10 == 0).select(
-        F.md5(key).alias("id"),
+    lines = _by_id(load(spark, sf_dir, "lineitem", dealt and not by_id), F.md5(key), by_id)
+    return _scraped(lines, F.col("l_partkey") % 10 == 0).select(
+        "id",
         F.when(merged, _id("m", parent)).otherwise(_id("t", parent)).alias("super_id"),
         F.when(line % 3 == 0, _id("line-", line)).alias("description"),
         _id("c", F.col("l_partkey") % 50).alias("category_id"),
@@ -228,7 +237,7 @@ def stg_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key, owner = F.col("o_orderkey"), F.col("o_custkey")
     price = _dec("o_totalprice").cast(MONEY)
-    rows = load(spark, sf_dir, "orders").select(
+    rows = load(spark, sf_dir, "orders", dealt=False).select(
         "o_orderkey",
         _id("v", owner - owner % 4).alias("account_no"),
         F.to_date("o_orderdate").alias("transacted_on"),
@@ -262,8 +271,8 @@ def stg_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stg_trip_leg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trip_legs(load(spark, sf_dir, "events"))
+def stg_trip_leg(spark: SparkSession, sf_dir: str, dealt: bool = True) -> DataFrame:
+    return trip_legs(load(spark, sf_dir, "events", dealt))
 
 
 def trip_legs(events: DataFrame) -> DataFrame:
@@ -286,7 +295,7 @@ def trip_legs(events: DataFrame) -> DataFrame:
 def stg_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("user_id") % 20
     return (
-        _scraped(load(spark, sf_dir, "events"), n % 4 == 0)
+        _scraped(load(spark, sf_dir, "events", dealt=False), n % 4 == 0)
         .select(_id("k", n).alias("id"), _versioned(_id("Card ", n)).alias("name"), "scraped_on")
         .distinct()
     )
@@ -295,7 +304,7 @@ def stg_card(spark: SparkSession, sf_dir: str) -> DataFrame:
 def card_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("user_id") % 20
     return (
-        load(spark, sf_dir, "events")
+        load(spark, sf_dir, "events", dealt=False)
         .select(
             _id("k", n).alias("bank_card_id"),
             F.lit("UOB").alias("vendor"),
@@ -305,7 +314,11 @@ def card_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staging(spark: SparkSession, sf_dir: str) -> Staging:
+def staging(spark: SparkSession, sf_dir: str, passed: bool = False) -> Staging:
+    """The staged inputs; ``passed`` if their rows are only passed over, as by checks of rows, and need no dealing."""
+    large = {"stg_transaction": {"by_id": True}, "stg_subtransaction": {"by_id": True}, "stg_trip_leg": {}}
+    if passed:
+        large = {name: {"dealt": False} for name in large}
     makers = (
         stg_budget,
         stg_budget_category,
@@ -321,7 +334,7 @@ def staging(spark: SparkSession, sf_dir: str) -> Staging:
         account_map,
         card_map,
     )
-    return Staging(**{make.__name__: partial(make, spark, sf_dir) for make in makers})
+    return Staging(**{make.__name__: partial(make, spark, sf_dir, **large.get(make.__name__, {})) for make in makers})
 
 
 def warehouse(spark: SparkSession, sf_dir: str, **kwargs) -> Warehouse:

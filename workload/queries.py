@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,7 +13,7 @@ from tallyhouse.functions.keys import import_id, surrogate_key
 from tallyhouse.functions.money import MONEY_SUM, to_int
 from tallyhouse.operators import calendar, dedupe, joins, quality, series, unnest
 from tallyhouse.plans import checks, facts, marts, metrics, staging
-from tallyhouse.plans.warehouse import LOOKUPS, Warehouse
+from tallyhouse.plans.warehouse import LOOKUPS, Staging, Warehouse
 from tallyhouse.session import scratch_dir
 from tallyhouse.sources import budget, incremental, journeys, lake, seeds, statements, versioned
 from tallyhouse.streaming import snapshots
@@ -963,24 +963,31 @@ def _built(spark: SparkSession, sf: str) -> Warehouse:
     return adapters.warehouse(spark, sf, store=lake.TableStore(spark, scratch_dir(spark, "warehouse")))
 
 
+def _checked(spark: SparkSession, sf: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """Built models, and staged inputs as they are stored: checks pass over their rows only."""
+    w, staged = _built(spark, sf), adapters.staging(spark, sf, passed=True)
+    return {name: getattr(staged, name) if name in Staging.NAMES else w.table(name) for name in names}
+
+
 def dq_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Every row check of every table, one pass per table."""
-    w = _built(spark, sf)
-    counted = [quality.check_rows(name, w.table(name), wanted) for name, wanted in checks.ALL.items() if quality.row_rules(wanted)]
+    rules = {name: wanted for name, wanted in checks.ALL.items() if quality.row_rules(wanted)}
+    tables = _checked(spark, sf, rules)
+    counted = [quality.check_rows(name, tables[name], wanted) for name, wanted in rules.items()]
     return reduce(DataFrame.unionAll, counted)
 
 
 def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
     """Every unique column of every table, one pass per table and one shuffle."""
-    w, rules = _built(spark, sf), quality.unique_rules(checks.ALL)
-    return quality.check_unique({name: w.table(name) for name, _ in rules}, rules)
+    rules = quality.unique_rules(checks.ALL)
+    return quality.check_unique(_checked(spark, sf, dict.fromkeys(name for name, _ in rules)), rules)
 
 
 def dq_relationships(spark: SparkSession, sf: str) -> DataFrame:
     """Every foreign key of every table, one pass per child and one join."""
-    w, rules = _built(spark, sf), quality.reference_rules(checks.ALL)
-    names = {name for child, _, parent, _ in rules for name in (child, parent)}
-    return quality.check_relationships({name: w.table(name) for name in names}, rules)
+    rules = quality.reference_rules(checks.ALL)
+    names = dict.fromkeys(name for child, _, parent, _ in rules for name in (child, parent))
+    return quality.check_relationships(_checked(spark, sf, names), rules)
 
 
 for _run, _sql in (
