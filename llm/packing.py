@@ -24,7 +24,8 @@ from llm.words import LOWER, Block, blocks, byte_hashes
 
 SEQUENCE = 2048
 END = 1  # closes every document
-MOST_WORDS = 1 << 20  # of a task's cache, which is then emptied
+MOST_WORDS = 1 << 20  # of a worker's cache, about 40 bytes each; it is then emptied. Workers keep it between stages
+AT_ONCE = 1 << 12  # words that are encoded at once
 _TAIL = np.zeros(256, bool)  # ASCII punctuation that a vocabulary always parts from a letter before it
 _TAIL[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in "'<|>"]] = True
 
@@ -40,13 +41,14 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[int, int] = {}
+        self.hash = np.zeros(0, np.uint64)  # of the known words, sorted
+        self.number = np.zeros(0, np.int32)  # of these words, as they were learned
         self.ids = np.zeros(1 << 16, np.uint32)
         self.at = np.zeros(1 << 14, np.int64)
 
-    def learn(self, words: list[tuple[int, str]]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast([w for _, w in words], add_special_tokens=False)]
-        old = len(self.number)
+    def learn(self, words: list[str], old: int) -> None:
+        """Encode words that get the numbers from ``old`` on."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         ends = self.at[old] + np.cumsum([len(x) for x in ids])
         while len(self.at) <= old + len(ids):
             self.at = np.append(self.at, np.zeros_like(self.at))
@@ -54,11 +56,10 @@ class Encoder:
             self.ids = np.append(self.ids, np.zeros_like(self.ids))
         self.ids[self.at[old] : ends[-1]] = np.fromiter((i for x in ids for i in x), np.uint32, ends[-1] - self.at[old])
         self.at[old + 1 : old + 1 + len(ids)] = ends
-        self.number.update((h, old + k) for k, (h, _) in enumerate(words))
 
     def encode(self, b: Block) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts of a block, each with END, and the bounds of the texts in them."""
-        if len(self.number) > MOST_WORDS:
+        if len(self.hash) > MOST_WORDS:
             self.clear()
         word_start, word_end, unit_at = units(b)
         data = b.data.tobytes()
@@ -66,14 +67,18 @@ class Encoder:
             data = LOWER[b.data].tobytes()
         hashes = byte_hashes(np.frombuffer(data, np.uint8), word_start, word_end)
         kinds, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
-        new = [
-            (h, data[word_start[k] : word_end[k]].decode())
-            for h, k in zip(kinds.tolist(), first.tolist(), strict=True)
-            if h not in self.number
-        ]
-        if new:
-            self.learn(new)
-        number = np.fromiter((self.number[h] for h in kinds.tolist()), np.int64, len(kinds))[kind]
+        place = np.searchsorted(self.hash, kinds)
+        old = len(self.hash)
+        known = np.zeros(len(kinds), bool)
+        inner = place < old
+        known[inner] = self.hash[place[inner]] == kinds[inner]
+        new = np.flatnonzero(~known)
+        for k in range(0, len(new), AT_ONCE):
+            some = first[new[k : k + AT_ONCE]].tolist()
+            self.learn([data[word_start[i] : word_end[i]].decode() for i in some], old + k)
+        self.hash = np.insert(self.hash, place[new], kinds[new])
+        self.number = np.insert(self.number, place[new], np.arange(old, old + len(new)))
+        number = self.number[np.searchsorted(self.hash, kinds)][kind]
         start, size = self.at[number], self.at[number + 1] - self.at[number]
         ends = np.concatenate([[0], np.cumsum(size)])
         bounds = ends[unit_at] + np.arange(b.texts + 1)

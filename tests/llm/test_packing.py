@@ -1,6 +1,7 @@
 """Packing: ids against the tokenizer itself, and an exact cover of all ids."""
 
 import random
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -99,3 +100,13 @@ def test_query_over_a_whole_table(spark, sf):
 
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     covers(QUERIES["op6_packing"](spark, sf).collect(), texts)
+
+
+def test_the_cache_of_words_stays_small():
+    """A word's text, hash and ids are no objects of their own: a dictionary of as many words took over 30 MB."""
+    own = packing.Encoder(packing.public_vocabulary())
+    for first in range(0, 300_000, 20_000):
+        (b,) = blocks(pa.array([" ".join(f"w{i}" for i in range(first, first + 20_000))]))
+        own.encode(b)
+    size = lambda x: x.nbytes if isinstance(x, np.ndarray) else sys.getsizeof(x) + (64 * len(x) if isinstance(x, dict) else 0)
+    assert own.at[300_000] > 300_000 and sum(size(x) for k, x in vars(own).items() if k != "tokenizer") < 24e6
