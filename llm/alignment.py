@@ -25,6 +25,7 @@ from llm.words import BLOCK_BYTES, _buffers, byte_hashes
 
 CHUNK = 1 << 15  # bytes of a text that one task takes at a time
 JOINED = 1 << 12  # bytes of units that are encoded as one text
+BATCH = 16  # fragments, or long texts, that a worker gets at a time
 FAN = 3  # 2**FAN fragments compose to one in a round
 MOST_UNITS, MOST_CACHED = 1 << 18, 1 << 25  # units of a task's cache, and their bytes; it is then emptied
 LOW = 16  # bits of a pair that hold the second tokenizer's id
@@ -402,6 +403,7 @@ def _table(fragments: list[tuple[int, int | None, int, Fragment]]) -> pa.RecordB
 
 
 def _read(table: pa.Table) -> Iterator[Fragment]:
+    """The fragments of a few rows."""
     pairs = table.column("pairs").combine_chunks()
     at, items = np.asarray(pairs.offsets), pairs.values
     key, n = np.asarray(items.field(0)), np.asarray(items.field(1))
@@ -447,42 +449,47 @@ def aligned(docs: DataFrame, vocabularies: tuple[str, str] | None = None, chunk:
             for i, key in enumerate(keys):
                 yield _table([(*key, own.fragment(batch.column(3)[i].as_py()))])
 
-    def composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def composed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, Fragment]]:
         own = aligner(*paths)
         for group in runs(batches, "row", "up"):
-            one = reduce(own.compose, _read(group))
-            yield _table([(group.column("row")[0].as_py(), group.column("doc_id")[0].as_py(), group.column("up")[0].as_py(), one)])
+            yield group.slice(0, 1), reduce(own.compose, _read(group))
+
+    def rounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, one in composed(batches):
+            yield _table([(*(group.column(k)[0].as_py() for k in ("row", "doc_id", "up")), one)])
 
     def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The last round, and what is open of the texts; one worker of a task does both."""
         own = aligner(*paths)
-        for batch in batches:
-            for i, f in enumerate(_read(pa.Table.from_batches([batch]))):
-                c = own.whole(f)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(batch.column(k).slice(i, 1) for k in range(2)),
-                        *(pa.array([x], pa.int64()) for x in (c.n_a, c.n_b, c.n_groups, c.n_links)),
-                        pa.array([_digest(c.groups)]),
-                        _lists(np.array([0, len(c.pair)]), c.pair, c.count),
-                    ],
-                    names=["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"],
-                )
+        for group, one in composed(batches):
+            c = own.whole(one)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(group.column(k).combine_chunks() for k in ("row", "doc_id")),
+                    *(pa.array([x], pa.int64()) for x in (c.n_a, c.n_b, c.n_groups, c.n_links)),
+                    pa.array([_digest(c.groups)]),
+                    _lists(np.array([0, len(c.pair)]), c.pair, c.count),
+                ],
+                names=["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"],
+            )
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     size = F.coalesce(F.octet_length("text"), F.lit(0))
-    short = rows.filter(size <= chunk).mapInArrow(texts, _ROW)
+    short = store(rows.filter(size <= chunk).mapInArrow(texts, _ROW), "aligned")
 
     data = F.encode("text", "utf-8")
     number = F.explode(F.sequence(F.lit(0), F.floor((F.octet_length("text") - 1) / chunk).cast("int"))).alias("at")
     long = rows.filter(size > chunk).select("row", "doc_id", "text", number)
     long = long.select("row", "doc_id", F.col("at").cast("long"), F.substring(data, F.col("at") * chunk + 1, F.lit(chunk)))
-    fragments = store(long.repartition(parts, "row", "at").mapInArrow(ranges, _FRAGMENT), "fragments")
+    fragments = store(long.repartition(parts, "row", "at").mapInArrow(ranges, _FRAGMENT), "fragments", BATCH)
     last = fragments.agg(F.max("at")).first()[0] or 0
-    while last:
-        up = fragments.withColumn("up", F.shiftright("at", FAN)).repartition(parts, "row", "up")
-        fragments = up.sortWithinPartitions("row", "up", "at").mapInArrow(composed, _FRAGMENT)
+    while True:
+        up = fragments.withColumn("up", F.shiftright("at", FAN)).repartition(parts, "row", "up").sortWithinPartitions("row", "up", "at")
         last >>= FAN
-    return short.unionByName(fragments.mapInArrow(finished, _ROW))
+        if not last:
+            break
+        fragments = up.mapInArrow(rounds, _FRAGMENT)
+    return short.unionByName(store(up.mapInArrow(finished, _ROW), "aligned", BATCH))
 
 
 def align(docs: DataFrame, vocabularies: tuple[str, str] | None = None, chunk: int = CHUNK) -> DataFrame:
@@ -495,7 +502,7 @@ def align(docs: DataFrame, vocabularies: tuple[str, str] | None = None, chunk: i
     empty digest, and its links don't count. Repeated rows count each for itself, with or without a
     doc_id. Columns but these two are not read, whatever their names.
     """
-    rows = store(aligned(docs, vocabularies, chunk), "aligned")
+    rows = aligned(docs, vocabularies, chunk)
     items = rows.select("row", F.explode("pairs").alias("pair")).select("row", "pair.*")
     counts = store(items.groupBy("key").agg(F.sum("n").alias("weight")), "pairs")
     second = F.col("key").bitwiseAND(F.lit((1 << LOW) - 1))

@@ -117,3 +117,15 @@ def test_rows_against_brute_force(spark, rows, plain, chunk):
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert alignment.align(docs).collect() == []
+
+
+def test_a_task_has_one_worker_for_long_texts(spark, monkeypatch):
+    """Every worker holds both vocabularies, so no two steps follow each other without an exchange."""
+    plans, real = [], alignment.store
+    monkeypatch.setattr(alignment, "store", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, *a))
+    rows = [(1, "ab " * 200 + "end"), (2, "x" * 300), (3, "ab"), (None, None)]
+    out = alignment.aligned(spark.createDataFrame(rows, "doc_id long, text string"), chunk=16)
+    assert sorted(r.n_groups for r in out.collect())[0] == 0 and out.count() == 4
+    for plan in plans:
+        steps = [line.split("MapInArrow")[0] for line in plan.splitlines() if "MapInArrow" in line or "RepartitionByExpression" in line]
+        assert all("Repartition" in a or "Repartition" in b for a, b in zip(steps, steps[1:])), plan
