@@ -5,23 +5,31 @@ that is logistic in the difference of their scores. Scores are linear in feature
 the model is a logistic regression on feature differences of preference pairs, without a bias.
 Documents are then told apart at the quantile of the scores that the share of label 0 names.
 
-The model is fitted on at most MOST_PER_CLASS labelled rows of either label, smallest hash of the
-id first, and PAIRS preference pairs of them. Every document is scored over its whole text.
+The model is fitted on all labelled rows that aren't held out: each of the more frequent label is
+paired with TURNS of the other, which take turns, so that all have a part. Newton's sums, the means
+and the quantile are computed over all of them, by Spark. Every document is scored over its whole text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import StorageLevel, TaskContext
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from llm.linear import fit_logistic, sigmoid
+from llm.linear import fit_logistic, newton, sigmoid, slope_and_curve
+from llm.tables import shuffle_partitions, store
 from llm.words import WORD_POWERS, Block, blocks
 
-MOST_PER_CLASS = 3000
-PAIRS = 20000
+TURNS = 4
+PAIRS = 20000  # of a fit in memory
+RIDGE = 5.0 / PAIRS  # per pair
+PARTS = 1 << 10  # of a label's rows, to number them
+BINS = MOST_VALUES = 1 << 12  # of a histogram of scores, and of scores that the driver takes
+MOST_SHARED = 1 << 12  # rows of a label that are broadcast; of more, none meets many
 GOOD = 0.7  # score from which on a document is predicted to be good
 HELD_OUT = 2  # remainder of the id's checksum by FOLDS that is never learned from
 FOLDS = 4
@@ -128,7 +136,7 @@ def fit(x: np.ndarray, good: np.ndarray, share_bad: float) -> Ranker:
     # a preference and its mirror image, so that neither outcome is missing
     apart = z[better] - z[worse]
     apart[1::2] *= -1
-    weights = fit_logistic(apart, 1.0 - np.arange(PAIRS) % 2, ridge=5.0)
+    weights = fit_logistic(apart, 1.0 - np.arange(PAIRS) % 2, ridge=RIDGE * PAIRS)
     raw = z @ weights
     weight = np.where(good == 1, (1 - share_bad) / len(ones), share_bad / len(zeros))
     order = np.argsort(raw, kind="stable")
@@ -137,32 +145,126 @@ def fit(x: np.ndarray, good: np.ndarray, share_bad: float) -> Ranker:
     return Ranker(mean, scale, weights, float(around.mean()))
 
 
+def _sums(rows: DataFrame, parts: Callable[..., list[np.ndarray]], *columns: str) -> list[np.ndarray]:
+    """What ``parts`` gives for array columns (rows as matrices), summed over all rows: a short row from every partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                x = [np.asarray(batch.column(c).flatten()).reshape(batch.num_rows, -1) for c in columns]
+                own = parts(*x)
+                total = own if total is None else [t + o for t, o in zip(total, own, strict=True)]
+        if total is not None:
+            flat = np.concatenate([np.ravel(t) for t in total])
+            number = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([flat], pa.list_(pa.float64()))], names=["number", "flat"])
+
+    found = sorted(rows.select(*columns).mapInArrow(run, "number long, flat array<double>").collect())
+    shapes = [np.shape(t) for t in parts(*(np.zeros((1, len(FEATURES))) for _ in columns))]
+    flat = np.sum([r["flat"] for r in found], axis=0)
+    ends = np.cumsum([int(np.prod(x)) for x in shapes])
+    return [t.reshape(x) for t, x in zip(np.split(flat, ends[:-1]), shapes, strict=True)]
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows (doc_id, quality, x) with ``place``, their number among those of their label, from 0."""
+    mark = F.xxhash64("doc_id", "x")
+    parted = rows.withColumn("mark", mark).withColumn("part", F.pmod("mark", F.lit(PARTS)))
+    before = Window.partitionBy("quality").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = parted.groupBy("quality", "part").count().select("quality", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("shift"))
+    within = F.row_number().over(Window.partitionBy("quality", "part").orderBy("mark", "doc_id", "x"))
+    # At most 2 * PARTS rows of three numbers: the bound of the broadcast.
+    placed = parted.withColumn("within", within).join(F.broadcast(shifts), ["quality", "part"])
+    return placed.select("quality", "x", (F.col("within") - 1 + F.col("shift")).alias("place"))
+
+
+def _pairs(rows: DataFrame, number: dict[int, int]) -> DataFrame:
+    """(good, bad): features of preference pairs. All rows have a part, those of a label about equally often."""
+    few, many = sorted(number, key=lambda y: (number[y], y))
+    n = number[few]
+    turns = rows.filter(F.col("quality") == many).select("place", F.col("x").alias("many"), F.explode(F.sequence(F.lit(0), F.lit(TURNS - 1))).alias("turn"))
+    turns = turns.withColumn("partner", (F.col("place") + F.col("turn") * max(n // TURNS, 1)) % n)
+    other = rows.filter(F.col("quality") == few).select(F.col("place").alias("partner"), F.col("x").alias("few"))
+    pairs = turns.join(F.broadcast(other) if n <= MOST_SHARED else other, "partner")
+    dealt = pairs.repartition(shuffle_partitions(rows.sparkSession), "place", "turn").sortWithinPartitions("place", "turn")
+    return dealt.select(*(F.col("few" if y == few else "many").alias(name) for y, name in ((1, "good"), (0, "bad"))))
+
+
+def _quantile(raw: DataFrame, weight: dict[int, float], share: float) -> float:
+    """Halfway between the smallest value of raw (quality, raw) up to which rows weigh ``share`` and the next larger one.
+
+    Histograms narrow down to few values, or to one.
+    """
+    low, high = raw.agg(F.min("raw"), F.max("raw")).first()
+    below = 0.0
+    while low < high:
+        values = raw.filter(F.col("raw").between(low, high))
+        place = F.least(F.floor((F.col("raw") - low) / (high - low) * BINS), F.lit(BINS - 1)).alias("bin")
+        ones = F.sum("quality").alias("ones")
+        bins = values.groupBy(place).agg(F.count("*").alias("n"), ones, F.min("raw").alias("low"), F.max("raw").alias("high")).orderBy("bin").collect()
+        for b in bins:
+            own = b["ones"] * weight[1] + (b["n"] - b["ones"]) * weight[0]
+            if below + own >= share - 1e-12 or b is bins[-1]:
+                break
+            below += own
+        low, high = b["low"], b["high"]
+        if b["n"] <= MOST_VALUES and low < high:
+            for r in raw.filter(F.col("raw").between(low, high)).orderBy("raw").collect():
+                low = high = r["raw"]
+                below += weight[r["quality"]]
+                if below >= share - 1e-12:
+                    break
+    after = raw.filter(F.col("raw") > low).agg(F.min("raw")).first()[0]
+    return low if after is None else (low + after) / 2
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Ranker:
     """A ranker from labels (doc_id, quality, ...) of the rows that aren't held out."""
     known = (
         labels.filter("doc_id is not null and quality in (0, 1)")
         .filter(~held_out())
         .groupBy("doc_id")
-        .agg(F.min("quality").alias("quality"))
+        .agg(F.min("quality").cast("int").alias("quality"))
     )
     totals = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
-    few = [known.filter(F.col("quality") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_PER_CLASS) for y in (0, 1)]
 
     @F.arrow_udf("array<double>")
     def described(text: pa.Array) -> pa.Array:
         return pa.array(list(table(text)), pa.list_(pa.float64()))
 
-    # At most 2 * MOST_PER_CLASS rows of two numbers: the bound of the broadcast.
-    rows = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .join(F.broadcast(few[0].union(few[1])), "doc_id")
-        .select("doc_id", "quality", described("text").alias("x"))
-        .orderBy("doc_id", "x")
-        .collect()
-    )
-    x = np.array([r["x"] for r in rows], float).reshape(len(rows), len(FEATURES))
-    bad = totals.get(0, 0) / max(sum(totals.values()), 1)
-    return fit(x, np.array([r["quality"] for r in rows], int), bad)
+    # Features are a few numbers, so texts aren't shuffled.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    each = texts.filter("doc_id is not null").filter(~held_out()).select("doc_id", described("text").alias("x"))
+    rows = store(_numbered(each.join(known, "doc_id")), "features")
+    number = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
+    n, zero = sum(number.values()), np.zeros(len(FEATURES))
+    mean = _sums(rows, lambda x: [x.sum(0)], "x")[0] / n if n else zero
+    scale = (np.sqrt(_sums(rows, lambda x: [((x - mean) ** 2).sum(0)], "x")[0] / n) if n else zero + 1) + 1e-6 * bool(n)
+    if len(number) < 2:
+        return Ranker(mean, scale, np.zeros(2 * len(FEATURES)), -1.0 if 1 in number else 1.0)
+
+    pairs = _pairs(rows, number).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+
+        def sums(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            def part(good: np.ndarray, bad: np.ndarray) -> list[np.ndarray]:
+                return list(slope_and_curve(expanded(good, mean, scale) - expanded(bad, mean, scale), np.ones(len(good)), w))
+
+            slope, curve = _sums(pairs, part, "good", "bad")
+            return slope, curve
+
+        weights = newton(sums, np.full(2 * len(FEATURES), RIDGE * TURNS * max(number.values())))
+    finally:
+        pairs.unpersist()
+
+    @F.arrow_udf("double")
+    def raw(x: pa.Array) -> pa.Array:
+        return pa.array(expanded(np.asarray(x.flatten()).reshape(len(x), -1), mean, scale) @ weights)
+
+    bad = totals[0] / sum(totals.values())
+    weight = {1: (1 - bad) / number[1], 0: bad / number[0]}
+    return Ranker(mean, scale, weights, _quantile(store(rows.select("quality", raw("x").alias("raw")), "raw"), weight, bad))
 
 
 def scored(docs: DataFrame, ranker: Ranker) -> DataFrame:

@@ -1,6 +1,7 @@
 """Trained operators: held-out accuracy, confirmation, and odd rows."""
 
 import textwrap
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,27 @@ def test_quality_held_out(tables):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= quality.GOOD) for r in rows)
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    """9,000 rows of either label, of which no sample of 3,000 has all; the model is the one that all of them give."""
+    ids = [i for i in range(24000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    r = np.random.default_rng(4)
+    text = {i: " ".join(["word" if r.random() < (0.75 if i % 2 else 0.25) else "#!" for _ in range(12)]) for i in ids}
+    docs = spark.createDataFrame(list(text.items()), "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    got = quality.train(docs, labels)
+    x, y = quality.table(pa.array([text[i] for i in ids])), np.array([i % 2 for i in ids])
+    assert got.mean == pytest.approx(x.mean(0)) and got.scale == pytest.approx(x.std(0) + 1e-6)
+    raw = np.sort(got.raw(x))
+    weight = np.where(y == 1, y.mean() / y.sum(), (1 - y.mean()) / (1 - y).sum())[np.argsort(got.raw(x), kind="stable")]
+    low = raw[np.searchsorted(np.cumsum(weight), 1 - y.mean() - 1e-12)]
+    above = raw[raw > low + 1e-9]
+    assert low - 1e-9 <= got.threshold <= (above[0] if len(above) else low) + 1e-9
+    pairs = quality._pairs(quality._numbered(docs.join(labels, "doc_id").select("doc_id", "quality", F.array(F.col("doc_id").cast("double")).alias("x"))),
+                           {1: int(y.sum()), 0: int((1 - y).sum())}).collect()
+    assert {p[0][0] for p in pairs} | {p[1][0] for p in pairs} == set(map(float, ids))
+    assert len(pairs) == quality.TURNS * max(y.sum(), (1 - y).sum()) == len({(p[0][0], p[1][0]) for p in pairs})
+
+
 def test_scores_of_odd_rows(spark, tables):
     docs, labels = tables
     rows = [(None, None, 1, "s"), (1, "", 1, "s"), (1, "", 1, "s"), (2, " \n", None, None), (3, "long " * 50000, 1, ""), (4, "a", 1, "")]
