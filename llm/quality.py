@@ -236,7 +236,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Ranker:
     # Features are a few numbers, so texts aren't shuffled.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     each = texts.filter("doc_id is not null").filter(~held_out()).select("doc_id", described("text").alias("x"))
-    rows = store(_numbered(each.join(known, "doc_id")), "features")
+    # Stored before they are numbered: numbering reads them twice.
+    rows = store(_numbered(store(each.join(known, "doc_id"), "described")), "features")
     number = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
     n, zero = sum(number.values()), np.zeros(len(FEATURES))
     mean = _sums(rows, lambda x: [x.sum(0)], "x")[0] / n if n else zero
