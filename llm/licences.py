@@ -21,7 +21,8 @@ Spark's own estimators are used.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import re
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -149,6 +150,23 @@ NOTICES = TEMPLATES | {UNKNOWN: STRANGERS}
 CLASSES = [*FAMILIES, UNKNOWN]
 
 
+def _split(text: str) -> tuple[list[str], list[str]]:
+    """The words and the distinct word pairs of a notice, as ``tokens`` and ``pairs`` give them."""
+    words = re.findall(TOKEN, text.lower())
+    return words, list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
+
+
+def _key(own: list[str]) -> list[str]:
+    """The longest of a template's pairs, so many that a text with none of them hasn't a share of CONFIRM."""
+    least = next(n for n in range(len(own) + 1) if n / len(own) >= CONFIRM)
+    return sorted(own, key=lambda p: (-len(p), p))[: len(own) - least + 1]
+
+
+OWN = [_split(t)[1] for c in CLASSES for t in NOTICES[c]]  # pairs of the templates, by class
+KNOWN = sorted({p for own in OWN for p in own})
+KEYS = sorted({p for own in OWN for p in _key(own)})
+
+
 def tokens(paragraph: Column) -> Column:
     return F.regexp_extract_all(F.lower(paragraph), F.lit(TOKEN), 0)
 
@@ -221,42 +239,25 @@ def train(docs: DataFrame) -> Scanner:
     return Scanner(model, max(LEAST_LEVEL, level or 0.0))
 
 
-def _shared(template: str, found: Column) -> Column:
-    """The number of a template's word pairs that are among those found."""
-    return F.size(F.array_intersect(_own(template), found))
-
-
-def _own(template: str) -> Column:
-    return F.array_distinct(pairs(tokens(F.lit(template))))
-
-
-def _greatest(values: list[Column]) -> Column:
-    return F.greatest(*values) if len(values) > 1 else values[0]
-
-
-def _of_class(name: Column, value: Callable[[str], Column]) -> Column:
-    """The largest value of the class's templates."""
-    out = F.lit(None)
-    for own in reversed(CLASSES):
-        out = F.when(name == own, _greatest([value(t) for t in NOTICES[own]])).otherwise(out)
-    return out
-
-
-def _share(template: str, found: Column) -> Column:
-    return _shared(template, found) / F.size(_own(template))
+def _fits(hits: Column) -> Column:
+    """Of every template, the number ``matched`` of its pairs that are among the hits, and their ``share``."""
+    every = F.from_json(F.lit(json.dumps(OWN)), "array<array<string>>")
+    counted = F.transform(every, lambda own: F.struct(F.size(F.array_intersect(own, hits)).alias("matched"), F.size(own).alias("size")))
+    return F.transform(counted, lambda t: F.struct(t["matched"].alias("matched"), (t["matched"] / t["size"]).alias("share")))
 
 
-def _hits(words: Column) -> Column:
-    """The template pairs among the words."""
-    known = F.flatten(F.array(*(_own(t) for c in CLASSES for t in NOTICES[c])))
-    return F.array_intersect(pairs(words), known)
+def _of_class(fits: Column, place: Column) -> Column:
+    """The part of ``_fits`` that belongs to the templates of a class, counted from 1."""
+    numbers = [len(NOTICES[c]) for c in CLASSES]
+    starts = [sum(numbers[:i]) + 1 for i in range(len(numbers))]
+    return F.slice(fits, F.element_at(F.lit(starts), place), F.element_at(F.lit(numbers), place))
 
 
 def _likely(rows: DataFrame) -> DataFrame:
-    """Rows with most word pairs of any template; adds ``hits``."""
-    rows = rows.select("*", once(_hits(F.col("words"))).alias("hits"))
-    every = [_share(t, F.col("hits")) for c in CLASSES for t in NOTICES[c]]
-    return rows.filter((F.size("hits") > 0) & (F.greatest(*every) >= CONFIRM))
+    """Rows with most word pairs of any template; adds ``hits``, the template pairs among the words."""
+    rows = rows.select("*", once(F.filter(pairs(F.col("words")), lambda p: p.isin(KNOWN))).alias("hits"))
+    rows = rows.filter(F.exists("hits", lambda p: p.isin(KEYS))).withColumn("hits", F.array_distinct("hits"))
+    return rows.filter(F.exists(_fits(F.col("hits")), lambda t: t["share"] >= CONFIRM))
 
 
 def _words(text: Column) -> Column:
@@ -327,14 +328,11 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     found = _probabilities(spans(docs), scanner.model)
     found = found.withColumn("probability", F.array_max("chances")).filter(F.col("probability") >= scanner.level)
     place = F.array_position("chances", F.col("probability")).cast("int")
-    hits, own = F.col("hits"), F.col("class")
-    share = lambda t: _share(t, hits)
-    matched = lambda t: F.when(share(t) >= CONFIRM, _shared(t, hits)).otherwise(0)
-    named = found.withColumn("class", F.element_at(F.array(*map(F.lit, CLASSES)), place))
-    # the share of the best template, and of the best one of the predicted class
-    fits = {c: _greatest([share(t) for t in NOTICES[c]]) for c in CLASSES}
-    named = named.select("*", once(F.array(*fits.values())).alias("fits"))
-    named = named.withColumn("similarity", F.element_at("fits", place)).filter(F.col("similarity") >= CONFIRM)
-    other = F.array_max("fits") > F.col("similarity")
-    held = named.withColumn("matched", _of_class(own, matched)).withColumn("family", F.when(other, UNKNOWN).otherwise(own))
+    named = found.select("*", place.alias("place"), once(_fits(F.col("hits"))).alias("fits"))
+    own = _of_class(F.col("fits"), F.col("place"))
+    named = named.withColumn("similarity", F.array_max(F.transform(own, lambda t: t["share"]))).filter(F.col("similarity") >= CONFIRM)
+    other = F.array_max(F.transform("fits", lambda t: t["share"])) > F.col("similarity")
+    matched = F.array_max(F.transform(own, lambda t: F.when(t["share"] >= CONFIRM, t["matched"]).otherwise(0)))
+    family = F.when(other, UNKNOWN).otherwise(F.element_at(F.lit(CLASSES), F.col("place")))
+    held = named.withColumn("matched", matched).withColumn("family", family)
     return _apart(held).select("doc_id", "paragraph", "family", "probability", "similarity", "text")

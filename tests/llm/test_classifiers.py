@@ -159,3 +159,17 @@ def test_licences_in_odd_tables(spark, tables):
     got = licences.scan(spark.createDataFrame([(1, long, 5, "x"), (2, None, None, None)], kind), scanner).collect()
     assert [(r.doc_id, r.paragraph, r.family) for r in got] == [(1, 1, "MIT")]
     assert licences.train(docs.limit(0)).level >= licences.LEAST_LEVEL
+
+
+def test_licences_templates_have_a_key_pair_where_they_hold():
+    for own in licences.OWN:
+        rest = set(own) - set(licences.KEYS)
+        assert len(rest) / len(own) < licences.CONFIRM
+
+
+def test_licences_split_as_spark_does(spark):
+    notices = [t for c in licences.CLASSES for t in licences.NOTICES[c]]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(notices)], "i int, text string")
+    words = licences.tokens(F.col("text"))
+    got = rows.select("i", F.array_distinct(licences.pairs(words)).alias("own")).collect()
+    assert {r.i: r.own for r in got} == dict(enumerate(licences.OWN))
