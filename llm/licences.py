@@ -1,8 +1,8 @@
 """Licence notices by a trained paragraph classifier, confirmed against templates.
 
 Paragraphs are the lines of a text, and neighbouring lines up to the next line without a word,
-joined as far as they have at most WINDOW words. Their words and word pairs, hashed to a sparse
-vector, go to a multinomial logistic regression over licence families, one class for licences of
+joined as far as they have at most WINDOW words. Those of their words and word pairs that some
+notice has go to a multinomial logistic regression over licence families, one class for licences of
 no family, and one for everything else. The last is learned from lines of the corpus and from
 notices that name no licence or deny one. A class is predicted where its probability reaches a
 level that is calibrated on other lines of the corpus. It holds if the paragraph has most word pairs
@@ -14,9 +14,10 @@ the most of these pairs is given, the shortest of equals.
 Only texts that have most pairs of some template are cut into paragraphs: no other can hold one
 that is confirmed.
 
-Training takes all templates, each with WORN worn copies, and at most SAMPLE documents of the
-corpus, smallest hash of the id first; half of them calibrate. Only DataFrame operations and
-Spark's own estimators are used.
+Training takes all templates, each with WORN worn copies, and the lines of all documents: those of
+half the texts are learned from, those of the others calibrate. Lines with the same terms are
+counted and go into the fit once, with their number as weight. Only DataFrame operations and Spark's
+own estimators are used.
 """
 
 from __future__ import annotations
@@ -27,16 +28,15 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from llm.tables import store
 
 TOKEN = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
-SIZE = 1 << 14  # of the hashed vectors
 WORN = 20
-SAMPLE = 400
+STEPS = 10000  # of a probability, to calibrate
 ALARMS = 0.001  # share of other paragraphs that may reach the level
 LEAST_LEVEL = 0.5
 CONFIRM = 0.6  # share of a template's word pairs
@@ -165,6 +165,9 @@ def _key(own: list[str]) -> list[str]:
 OWN = [_split(t)[1] for c in CLASSES for t in NOTICES[c]]  # pairs of the templates, by class
 KNOWN = sorted({p for own in OWN for p in own})
 KEYS = sorted({p for own in OWN for p in _key(own)})
+_NOTED = [_split(t) for t in [*(t for c in CLASSES for t in NOTICES[c]), *OTHER]]
+WORDS = sorted({w for words, _ in _NOTED for w in words})
+PAIRS = sorted({p for _, own in _NOTED for p in own})
 
 
 def tokens(paragraph: Column) -> Column:
@@ -191,7 +194,11 @@ def once(value: Column) -> Column:
 
 
 def terms(words: Column) -> Column:
-    return F.concat(words, pairs(words))
+    """The distinct words and pairs that some notice has, in order."""
+    first, rest = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
+    noted = lambda a, b: F.when(a.isin(WORDS) & b.isin(WORDS), F.concat_ws(" ", a, b))
+    both = F.filter(F.zip_with(first, rest, noted), lambda p: p.isin(PAIRS))
+    return F.array_sort(F.array_distinct(F.concat(F.filter(words, lambda w: w.isin(WORDS)), both)))
 
 
 def _notices(docs: DataFrame) -> DataFrame:
@@ -211,31 +218,39 @@ class Scanner:
 
 
 def _probabilities(rows: DataFrame, model: PipelineModel) -> DataFrame:
-    """Adds ``chances``, the probabilities of the classes in order."""
-    out = model.transform(rows.select("*", once(terms(F.col("words"))).alias("terms")))
+    """Rows with ``terms``; adds ``chances``, the probabilities of the classes in order."""
     chances = F.slice(vector_to_array("probability"), 2, len(CLASSES))
-    return out.select("*", once(chances).alias("chances")).drop("terms", "vector", "probability")
+    return model.transform(rows).select("*", once(chances).alias("chances")).drop("terms", "vector", "probability")
+
+
+def lines(docs: DataFrame) -> DataFrame:
+    """(half, terms, n): how many lines of docs, of either half of the texts, have these terms. Lines about licences aren't counted."""
+    text = F.col("text").cast("string")
+    half = F.pmod(F.xxhash64(F.lit(1), text), F.lit(2)).alias("half")
+    rows = docs.select(half, F.explode(F.split(F.lower(text), "\n")).alias("text"))
+    rows = rows.filter(F.col("text").rlike("[a-z0-9]") & ~F.col("text").rlike("licen[cs]|creative commons|copyright"))
+    # Counts combine before the shuffle.
+    return rows.select("half", once(tokens(F.col("text"))).alias("words")).groupBy("half", terms(F.col("words")).alias("terms")).agg(F.count("*").alias("n"))
 
 
 def train(docs: DataFrame) -> Scanner:
-    """A scanner from the templates and a bounded sample of docs."""
-    few = docs.filter("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    # At most SAMPLE rows of one number: the bound of the broadcast. Of rows that share an id one counts.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    plain = paragraphs(chosen).filter(~F.lower("text").rlike("licen[cs]|creative commons|copyright"))
-    plain = store(plain.select("doc_id", tokens(F.col("text")).alias("words")), "plain")
-    half = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2))
-    fitted = plain.filter(half == 0).select(F.lit(0.0).alias("label"), "words")
-    rows = _notices(docs).union(fitted).select("label", terms(F.col("words")).alias("terms")).coalesce(4)
-    hashed = HashingTF(inputCol="terms", outputCol="vector", numFeatures=SIZE, binary=True)
+    """A scanner from the templates and all lines of docs."""
+    plain = store(lines(docs), "lines")
+    notices = _notices(docs).select("label", terms(F.col("words")).alias("terms"), F.lit(1.0).alias("weight"))
+    fitted = plain.filter("half = 0")
+    # Together the corpus' lines weigh no more than the notices.
+    weight = min(1.0, notices.count() / max(fitted.agg(F.sum("n")).first()[0] or 0, 1))
+    rows = store(notices.union(fitted.select(F.lit(0.0).alias("label"), "terms", F.col("n") * weight)), "rows")
+    vectors = CountVectorizerModel.from_vocabulary(WORDS + PAIRS, inputCol="terms", outputCol="vector", binary=True)
     learner = LogisticRegression(
         featuresCol="vector", labelCol="label", probabilityCol="probability", rawPredictionCol="raw", predictionCol="predicted",
-        family="multinomial", regParam=0.0005, maxIter=100, standardization=False,
+        family="multinomial", regParam=0.0005, maxIter=100, standardization=False, weightCol="weight",
     )
-    fit: LogisticRegressionModel = learner.fit(hashed.transform(rows).cache())
-    model = PipelineModel([hashed, fit.setRawPredictionCol("").setPredictionCol("")])
-    other = _probabilities(plain.filter(half == 1).select("words"), model)
-    level = other.agg(F.percentile_approx(F.array_max("chances"), 1 - ALARMS, 10000)).first()[0]
+    fit: LogisticRegressionModel = learner.fit(vectors.transform(rows))
+    model = PipelineModel([vectors, fit.setRawPredictionCol("").setPredictionCol("")])
+    # Steps of a probability are few values, whatever the number of lines.
+    reached = F.ceil(F.array_max("chances") * STEPS) / STEPS
+    level = _probabilities(plain.filter("half = 1"), model).agg(F.percentile(reached, 1 - ALARMS, F.col("n"))).first()[0]
     return Scanner(model, max(LEAST_LEVEL, level or 0.0))
 
 
@@ -325,7 +340,7 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     the notice's first line, counted from 0, and ``text`` its lines. A null or empty text has no paragraphs. Rows that repeat a document give its notices again, and rows
     without a doc_id give theirs with none. Other columns are not read.
     """
-    found = _probabilities(spans(docs), scanner.model)
+    found = _probabilities(spans(docs).withColumn("terms", terms(F.col("words"))), scanner.model)
     found = found.withColumn("probability", F.array_max("chances")).filter(F.col("probability") >= scanner.level)
     place = F.array_position("chances", F.col("probability")).cast("int")
     named = found.select("*", place.alias("place"), once(_fits(F.col("hits"))).alias("fits"))

@@ -161,6 +161,22 @@ def test_licences_in_odd_tables(spark, tables):
     assert licences.train(docs.limit(0)).level >= licences.LEAST_LEVEL
 
 
+def test_licences_learn_from_lines_of_all_documents(spark):
+    """A phrase of most documents, none of them among the 400 with the smallest hash of their id, is known to be prose."""
+    ids = [r.id for r in spark.range(1200).orderBy(F.xxhash64("id"), "id").collect()]
+    phrase, plain = "Look, it was released under the MIT.", "An old tale of a boat and the sea."
+    docs = spark.createDataFrame([(i, f"{plain} {i % 7}\n{phrase if n >= 400 else plain}\nNumber {i}", 0, "") for n, i in enumerate(ids)], DOCS)
+    found = spark.createDataFrame([(1, f"{phrase}\n\nReleased under the MIT License.", 0, "")], DOCS)
+    got = licences.scan(found, licences.train(docs)).collect()
+    assert [(r.paragraph, r.family) for r in got] == [(2, "MIT")]
+
+
+def test_licences_count_every_line(spark):
+    rows = [(1, "The sea.\n\n!?\nThe sea.", 0, ""), (1, "The sea.\n\n!?\nThe sea.", 0, ""), (None, "A boat.\nCopyright 2020", 0, ""), (2, None, 0, ""), (3, "", 0, "")]
+    got = licences.lines(spark.createDataFrame(rows, DOCS)).groupBy("terms").agg(F.sum("n").alias("n"), F.countDistinct("half").alias("halves")).collect()
+    assert sorted((r.terms, r.n, r.halves) for r in got) == [(["a"], 1, 1), (["the"], 4, 1)]
+
+
 def test_licences_templates_have_a_key_pair_where_they_hold():
     for own in licences.OWN:
         rest = set(own) - set(licences.KEYS)
@@ -171,5 +187,6 @@ def test_licences_split_as_spark_does(spark):
     notices = [t for c in licences.CLASSES for t in licences.NOTICES[c]]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(notices)], "i int, text string")
     words = licences.tokens(F.col("text"))
-    got = rows.select("i", F.array_distinct(licences.pairs(words)).alias("own")).collect()
+    got = rows.select("i", F.array_distinct(licences.pairs(words)).alias("own"), licences.terms(words).alias("terms")).collect()
     assert {r.i: r.own for r in got} == dict(enumerate(licences.OWN))
+    assert all(set(r.own) < set(r.terms) <= {*licences.WORDS, *licences.PAIRS} and r.terms == sorted(set(r.terms)) for r in got)
