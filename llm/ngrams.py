@@ -5,9 +5,10 @@ n-gram of level q goes into the filter q times, as (n-gram, 1) to (n-gram, q): p
 until a probe fails gives its level back, too high at worst. The filter grows with the n-grams it
 holds, a fixed number of bits for each entry, in segments by n-gram hash that Spark tasks count and
 build side by side. It is broadcast if it is small enough; else the n-grams travel to the segments,
-which gives the same scores. A pair's probability is smoothed by the word's own, from the levels
-alone. The base score rests on exact counts: frequent words are at most MOST_HEAVY and broadcast,
-other documents' words meet theirs in a join.
+each once for some megabytes of texts, which gives the same scores. A pair's probability is smoothed
+by the word's own, from the levels alone. The base score rests on exact counts, which segments hold
+beside the filter: they come with the levels, or, if the filter is broadcast, frequent words (at most
+MOST_HEAVY) are so too and others meet their counts in a join.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from llm.tables import runs, shuffle_partitions, store
-from llm.words import Block, _buffers, block, blocks, mix
+from llm.words import Block, blocks, mix
 
 ENTRY_BITS = 10  # of the filter, for each entry
 ENTRY_SET = 4  # of these are set, all in one 64-bit word
@@ -28,7 +29,8 @@ SEGMENT_TEXT = 1 << 22  # bytes of training text for each segment
 KEY_BYTES = 5  # of an n-gram's hash in its segment
 MOST_BROADCAST = 1 << 27  # bytes of a filter
 MOST_HEAVY = 1 << 18  # frequent words: those that hold 1 / MOST_HEAVY of all tokens, or more
-ROUTED = 32  # segments that one group of requests meets
+ROUTED = 8  # segments that one group of requests meets, 256 at most
+ASKING_TEXT = 1 << 22  # bytes of texts that ask the segments together
 PRIOR = 100.0  # strength of the word's own probability, in counts
 BUFFER = 1 << 19  # n-grams that are counted at once
 
@@ -36,6 +38,7 @@ _START, _END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _ROUND = 0xD6E8FEB86659FD93
 _KEY = np.uint64((1 << 8 * KEY_BYTES) - 1)
+_HEAD = mix(np.array([_START]) * _ONE)[0]  # a start as a word
 
 
 @dataclass
@@ -128,20 +131,28 @@ def scores(g: Grams, lookup: Lookup, tokens: int, words: int) -> tuple[np.ndarra
     both its words were found.
     """
     one = lookup(g.one)
-    pair = ~g.head & (one > 0) & (_before(one) > 0)
-    two = np.zeros(len(one), np.int64)
+    pair, two = known_pairs(g, one), np.zeros(len(one), np.int64)
     two[pair] = lookup(g.two[pair])
+    return totals(g, one, two, tokens, words), one
+
+
+def known_pairs(g: Grams, one: np.ndarray) -> np.ndarray:
+    return ~g.head & (one > 0) & (_before(one) > 0)
+
+
+def totals(g: Grams, one: np.ndarray, two: np.ndarray, tokens: int, words: int) -> np.ndarray:
+    """log10 probability of each text by the levels of its words and known pairs."""
     p = (estimate(one) + 1) / (tokens + words + 1)
     context = _before(estimate(one))
     p = (np.minimum(estimate(two), context) + PRIOR * p) / (context + PRIOR)
     p[g.head] = 1
-    return np.add.reduceat(np.log10(p), g.at[:-1]), one
+    return np.add.reduceat(np.log10(p), g.at[:-1])
 
 
 @dataclass(frozen=True)
 class Model:
     counts: DataFrame  # (key, n) of words
-    filter: DataFrame  # (segment, words)
+    filter: DataFrame  # (segment, words, key, n): the filter's words, and exact counts of the words of texts
     segments: int
     size: int  # bytes of the filter
     tokens: int
@@ -162,13 +173,6 @@ def _buffered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Grams]]:
         yield held
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words and how often they occur, buffer by buffer."""
-    for held in _buffered(batches):
-        key, n = np.unique(np.concatenate([g.one[~g.head] for g in held]), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
-
-
 def _packed(key: np.ndarray) -> bytes:
     return key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
 
@@ -179,50 +183,69 @@ def _unpacked(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def _parts(at: np.ndarray, found: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of each of ``found`` in sorted numbers."""
+    return list(zip(np.searchsorted(at, found).tolist(), np.searchsorted(at, found, "right").tolist(), strict=True))
+
+
 def _dealt(batches: Iterator[pa.RecordBatch], segments: int) -> Iterator[pa.RecordBatch]:
-    """Words and pairs by segment, buffer by buffer: those that occur once there, the others, and how often they do."""
+    """Words and pairs by segment, buffer by buffer: whole words and how often they occur; pairs that occur once there, the others, and how often they do."""
     for held in _buffered(batches):
-        key, n = np.unique(np.concatenate([x for g in held for x in (g.one, g.two[~g.head])]), return_counts=True)
-        segment = segment_of(key, segments)
-        order = np.lexsort((n > 1, segment))
-        key, n, segment = key[order], n[order], segment[order]
-        found, first = np.unique(segment, return_index=True)
-        bounds = [*first.tolist(), len(key)]
-        more = np.concatenate([[0], np.cumsum(n > 1)])
-        parts = [(i, j - int(more[j] - more[i]), j) for i, j in zip(bounds, bounds[1:], strict=False)]
+        word, times = np.unique(np.concatenate([g.one for g in held]), return_counts=True)
+        pair, n = np.unique(np.concatenate([g.two[~g.head] for g in held]), return_counts=True)
+        word_at, pair_at = segment_of(word, segments), segment_of(pair, segments)
+        order = np.argsort(word_at, kind="stable")
+        word, times, word_at = word[order], times[order], word_at[order]
+        order = np.argsort(2 * pair_at + (n > 1), kind="stable")
+        pair, n, pair_at = pair[order], n[order], pair_at[order]
+        found = np.flatnonzero(np.bincount(word_at, minlength=segments) + np.bincount(pair_at, minlength=segments))
+        words, more = _parts(word_at, found), np.concatenate([[0], np.cumsum(n > 1)])
+        parts = [(i, j - int(more[j] - more[i]), j) for i, j in _parts(pair_at, found)]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(found),
-                pa.array([_packed(key[i:k]) for i, k, _ in parts], pa.binary()),
-                pa.array([_packed(key[k:j]) for _, k, j in parts], pa.binary()),
+                pa.array([word[i:j].astype("<u8").tobytes() for i, j in words], pa.binary()),
+                pa.array([times[i:j].astype("<u4").tobytes() for i, j in words], pa.binary()),
+                pa.array([_packed(pair[i:k]) for i, k, _ in parts], pa.binary()),
+                pa.array([_packed(pair[k:j]) for _, k, j in parts], pa.binary()),
                 pa.array([n[k:j].astype("<u4").tobytes() for _, k, j in parts], pa.binary()),
             ],
-            names=["segment", "once", "keys", "times"],
+            names=["segment", "word", "word_times", "once", "keys", "times"],
         )
 
 
 def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in runs(batches, "segment"):
-        once, keys, times = (b"".join(group.column(c).to_pylist()) for c in ("once", "keys", "times"))
+        word, word_times, once, keys, times = (b"".join(group.column(c).to_pylist()) for c in ("word", "word_times", "once", "keys", "times"))
+        word, place = np.unique(np.frombuffer(word, "<u8"), return_inverse=True)
+        count = np.bincount(place, np.frombuffer(word_times, "<u4"), len(word)).astype(np.int64)
         one, other = _unpacked(once), _unpacked(keys)
-        n = np.concatenate([np.ones(len(one), np.int64), np.frombuffer(times, "<u4").astype(np.int64)])
-        key, place = np.unique(np.concatenate([one, other]), return_inverse=True)
-        words = fill(key, levels_of(np.bincount(place, n)))
-        yield pa.RecordBatch.from_arrays([group.column("segment")[:1].combine_chunks(), pa.array([words.tobytes()], pa.binary())], names=["segment", "words"])
+        n = np.concatenate([count, np.ones(len(one), np.int64), np.frombuffer(times, "<u4").astype(np.int64)])
+        key, place = np.unique(np.concatenate([word & _KEY, one, other]), return_inverse=True)
+        words, token = fill(key, levels_of(np.bincount(place, n))), word != _HEAD
+        yield pa.RecordBatch.from_arrays(
+            [
+                group.column("segment")[:1].combine_chunks(),
+                pa.array([words.tobytes()], pa.binary()),
+                pa.array([word[token].view(np.int64)], pa.list_(pa.int64())),
+                pa.array([count[token]], pa.list_(pa.int64())),
+            ],
+            names=["segment", "words", "key", "n"],
+        )
 
 
 def train(docs: DataFrame) -> Model:
     """Exact counts of the words of docs (text, ...), and the filter. No rows give an empty filter."""
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    found = texts.mapInArrow(_words, "key long, n long")
-    counts = store(found.groupBy("key").agg(F.sum("n").alias("n")), "words")
-    tokens, words = counts.agg(F.sum("n"), F.count("*")).first()
     segments = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SEGMENT_TEXT
-    dealt = texts.mapInArrow(lambda batches: _dealt(batches, segments), "segment long, once binary, keys binary, times binary")
+    kind = "segment long, word binary, word_times binary, once binary, keys binary, times binary"
+    dealt = texts.mapInArrow(lambda batches: _dealt(batches, segments), kind)
     dealt = dealt.repartition(shuffle_partitions(docs.sparkSession), "segment").sortWithinPartitions("segment")
-    made = store(dealt.mapInArrow(_filled, "segment long, words binary"), "filter")
-    size = made.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    return Model(counts, made, segments, size, tokens or 0, words)
+    made = store(dealt.mapInArrow(_filled, "segment long, words binary, key array<long>, n array<long>"), "filter")
+    in_segment = F.aggregate("n", F.lit(0).cast("long"), lambda a, b: a + b)
+    size, tokens, words = made.agg(F.sum(F.octet_length("words")), F.sum(in_segment), F.sum(F.size("n"))).first()
+    counts = made.select(F.explode(F.arrays_zip("key", "n")).alias("count")).select("count.*")
+    return Model(counts, made, segments, size or 0, tokens or 0, words or 0)
 
 
 _SCORED = "row long, doc_id long, learned boolean, n_tokens long, score double, known long, gain double, items array<struct<key:long,n:long>>"
@@ -267,7 +290,7 @@ class Scorer:
 def _by_broadcast(rows: DataFrame, model: Model, scorer: Scorer) -> DataFrame:
     """Rows (row, doc_id, learned, text) scored by tasks that hold the whole filter."""
     parts = [b""] * model.segments
-    for r in model.filter.toLocalIterator():
+    for r in model.filter.select("segment", "words").toLocalIterator():
         parts[r["segment"]] = bytes(r["words"])
     at = np.cumsum([0, *(len(p) // 8 for p in parts)])
     # as plain bytes, which a worker reads into place; an array would be copied once more
@@ -283,84 +306,180 @@ def _by_broadcast(rows: DataFrame, model: Model, scorer: Scorer) -> DataFrame:
     return rows.mapInArrow(run, _SCORED)
 
 
-def _single(column: pa.Array) -> Iterator[Block]:
-    data, at = _buffers(column)
-    for i in range(len(column)):
-        yield block(data, at[i : i + 2], i, lower=True)
+def _whole(texts: pa.ChunkedArray) -> Grams:
+    """The n-grams of all these texts."""
+    held = [grams(b) for b in blocks(texts, lower=True)]
+    at = np.cumsum(np.concatenate([[0], *(np.diff(g.at) for g in held)]))
+    return Grams(at, *(np.concatenate([getattr(g, c) for g in held]) for c in ("head", "one", "two")))
 
 
-def _requests(g: Grams, segments: int, routed: int) -> list[tuple[int, np.ndarray]]:
-    """The n-grams of a text, by group of segments; sorted, so that they are the same at any time."""
-    keys = np.unique(np.concatenate([g.one, g.two[~g.head]]))
-    group = segment_of(keys, segments) // routed
-    keys = keys[np.argsort(group, kind="stable")]
-    groups, n = np.unique(group, return_counts=True)
-    return list(zip(groups.tolist(), np.split(keys, np.cumsum(n)[:-1]), strict=True))
+@dataclass
+class Kinds:
+    """Distinct n-grams by segment and hash, so that they are the same at any time, and where each of some places has its own."""
 
+    key: np.ndarray
+    segment: np.ndarray
+    place: np.ndarray
+
+
+def _kinds(keys: np.ndarray, segments: int) -> Kinds:
+    key, place = np.unique(keys, return_inverse=True)
+    segment = segment_of(key, segments)
+    order = np.argsort(segment, kind="stable")
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.arange(len(key))
+    return Kinds(key[order], segment[order], rank[place])
+
+
+class _Group:
+    """What answers requests: the filter of some segments, and the exact counts of their words."""
+
+    def __init__(self, parts: dict[int, tuple[bytes, np.ndarray, np.ndarray]], segments: int, routed: int):
+        own = [np.frombuffer(parts[i][0], np.uint64) if i in parts else np.zeros(0, np.uint64) for i in range(routed)]
+        self.filter = Filter(np.concatenate(own), np.concatenate([[0], np.cumsum([len(w) for w in own])]))
+        key, n = (np.concatenate([np.zeros(0, np.int64), *(p[i] for p in parts.values())]) for i in (1, 2))
+        order = np.argsort(key.view(np.uint64))
+        self.key, self.n = key.view(np.uint64)[order], n[order]
+        self.segments, self.routed = segments, routed
+
+    def answers(self, asks: list[tuple[bytes, bytes, bytes]]) -> Iterator[tuple[bytes, bytes, bytes]]:
+        """Levels and exact counts of the words, and levels of the pairs, of each request (words, pairs, their segments)."""
+        word, pair, place = (b"".join(x) for x in zip(*asks, strict=True))
+        word, place = np.frombuffer(word, "<u8"), np.frombuffer(place, np.uint8).astype(np.int64)
+        word_levels = self.filter.levels(word, segment_of(word, self.segments) % self.routed).astype(np.uint8)
+        pair_levels = self.filter.levels(_unpacked(pair), place).astype(np.uint8)
+        counts = exact(self.key, self.n, word)
+        i = j = 0
+        for words, _, places in asks:
+            m, n = len(words) // 8, len(places)
+            yield word_levels[i : i + m].tobytes(), counts[i : i + m].astype("<i8").tobytes(), pair_levels[j : j + n].tobytes()
+            i, j = i + m, j + n
+
+
+def exact(key: np.ndarray, n: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Counts of words by sorted keys; 0 for others."""
+    if not len(key):
+        return np.zeros(len(wanted), np.int64)
+    place = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+    return np.where(key[place] == wanted, n[place], 0)
+
+
+def _asks(texts: DataFrame, segments: int, routed: int) -> DataFrame:
+    """Requests (group, block, word, pair, place) of texts (block, text, ...): one of a block to a group of segments."""
+
+    def asked(block: pa.Table) -> pa.Table:
+        g = _whole(block.column("text"))
+        word, pair = _kinds(g.one, segments), _kinds(g.two[~g.head], segments)
+        word_at, pair_at = word.segment // routed, pair.segment // routed
+        groups = np.flatnonzero(np.bincount(word_at, minlength=segments) + np.bincount(pair_at, minlength=segments))
+        words, pairs = _parts(word_at, groups), _parts(pair_at, groups)
+        own = (pair.segment % routed).astype(np.uint8)
+        return pa.table(
+            {
+                "group": pa.array(groups),
+                "block": pa.array([block.column("block")[0].as_py()] * len(groups), pa.int64()),
+                "word": pa.array([word.key[i:j].astype("<u8").tobytes() for i, j in words], pa.binary()),
+                "pair": pa.array([_packed(pair.key[i:j]) for i, j in pairs], pa.binary()),
+                "place": pa.array([own[i:j].tobytes() for i, j in pairs], pa.binary()),
+            }
+        )
 
-def _by_route(rows: DataFrame, model: Model, scorer: Scorer, routed: int) -> DataFrame:
-    """Rows (row, doc_id, learned, text) scored with levels that their n-grams bring from the segments.
+    return texts.groupBy("block").applyInArrow(asked, "group long, block long, word binary, pair binary, place binary")
 
-    A task holds ``routed`` segments at a time. A text asks each group of segments once.
-    """
-    segments, parts = model.segments, shuffle_partitions(rows.sparkSession)
-    rows = store(rows, "texts")
 
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in _single(batch.column(1)):
-                asks = _requests(grams(b), segments, routed)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([g for g, _ in asks], pa.int64()),
-                        pa.array([batch.column(0)[b.first].as_py()] * len(asks), pa.int64()),
-                        pa.array([k.tobytes() for _, k in asks], pa.binary()),
-                    ],
-                    names=["group", "row", "data"],
-                )
+def _in_blocks(rows: DataFrame, asking: int) -> DataFrame:
+    """Rows dealt into blocks of about ``asking`` bytes of text, by row."""
+    n = 1 + (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // asking
+    return rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n))).repartition(shuffle_partitions(rows.sparkSession), "block")
+
+
+def _by_route(rows: DataFrame, model: Model, routed: int, asking: int) -> DataFrame:
+    """Rows (row, doc_id, learned, text) scored with levels and counts that their n-grams bring from the segments.
+
+    A block of texts asks each group of ``routed`` segments once, for each n-gram once; a task holds
+    one group at a time. The shuffle that deals the texts serves both the requests and the scores.
+    """
+    segments, tokens, kinds = model.segments, model.tokens, model.words
+    texts = _in_blocks(rows, asking)
 
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[int, np.ndarray] = {}
-        group_at, held = None, None
+        own: dict[int, tuple[bytes, np.ndarray, np.ndarray]] = {}
+        at, held = None, None
+        asks: list[tuple[int, bytes, bytes, bytes]] = []
+
+        def told() -> pa.RecordBatch:
+            got = [(at, a[0], *x) for a, x in zip(asks, held.answers([a[1:] for a in asks]), strict=True)]
+            asks.clear()
+            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(zip(*got, strict=True), types, strict=True)],
+                names=["group", "block", "word_levels", "word_n", "pair_levels"],
+            )
+
         for batch in batches:
-            out = []
-            for group, row, segment, data in zip(*(batch.column(c).to_pylist() for c in ("group", "row", "segment", "data")), strict=True):
-                if group != group_at:
-                    words, group_at, held = {}, group, None
-                if row is None:
-                    words[segment % routed] = np.frombuffer(data, np.uint64)
+            size = 0
+            for i, (group, block) in enumerate(zip(batch.column("group").to_pylist(), batch.column("block").to_pylist(), strict=True)):
+                if group != at:
+                    if asks:
+                        yield told()
+                    own, at, held, size = {}, group, None, 0
+                if block is None:
+                    key, n = (np.asarray(batch.column(c)[i].values) for c in ("key", "n"))
+                    own[batch.column("segment")[i].as_py() % routed] = batch.column("words")[i].as_py(), key, n
                     continue
                 if held is None:
-                    own = [words.get(i, np.zeros(0, np.uint64)) for i in range(routed)]
-                    held = Filter(np.concatenate(own), np.concatenate([[0], np.cumsum([len(w) for w in own])]))
-                key = np.frombuffer(data, np.uint64)
-                found = held.levels(key, segment_of(key, segments) % routed)
-                out.append((group, row, found.astype(np.uint8).tobytes()))
-            columns = zip(*out, strict=True) if out else ([], [], [])
-            kinds = (pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["group", "row", "data"])
+                    held = _Group(own, segments, routed)
+                asks.append((block, *(batch.column(c)[i].as_py() for c in ("word", "pair", "place"))))
+                size += len(asks[-1][3])
+                if size > BUFFER:
+                    yield told()
+                    size = 0
+            if asks:
+                yield told()
+
+    def scored(block: pa.Table, answers: pa.Table) -> pa.Table:
+        g = _whole(block.column("text"))
+        word, pair = _kinds(g.one, segments), _kinds(g.two[~g.head], segments)
+        answers = answers.sort_by("group")
+        word_levels, word_n, pair_levels = (
+            np.frombuffer(b"".join(answers.column(c).to_pylist()), t) for c, t in (("word_levels", "u1"), ("word_n", "<i8"), ("pair_levels", "u1"))
+        )
+        if len(word_levels) != len(word.key) or len(pair_levels) != len(pair.key):
+            raise RuntimeError("texts were dealt otherwise when they asked")
+        one, two = word_levels[word.place].astype(np.int64), np.zeros(len(g.one), np.int64)
+        two[~g.head] = pair_levels[pair.place]
+        score = totals(g, one, np.where(known_pairs(g, one), two, 0), tokens, kinds)
+        count = np.where(g.head, 0, word_n[word.place])
+        known, gain = (np.add.reduceat(x, g.at[:-1]) for x in ((count > 0).astype(np.int64), np.log10(count + 1.0)))
+        doc_id, learned = block.column("doc_id"), block.column("learned")
+        return pa.table({"doc_id": doc_id, "learned": learned, "n_tokens": np.diff(g.at) - 1, "known": known, "gain": gain, "score": score})
+
+    asks = _asks(texts, segments, routed)
+    held = model.filter.withColumn("group", F.floor(F.col("segment") / routed))
+    both = held.unionByName(asks, allowMissingColumns=True).repartition(shuffle_partitions(rows.sparkSession), "group").sortWithinPartitions("group", F.col("block").asc_nulls_first())
+    answers = both.mapInArrow(answered, "group long, block long, word_levels binary, word_n binary, pair_levels binary")
+    kind = "doc_id long, learned boolean, n_tokens long, known long, gain double, score double"
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, kind)
+
+
+def _broadcast(rows: DataFrame, model: Model, heavy: int) -> DataFrame:
+    """Rows (row, doc_id, learned, text) scored by the whole filter, with the exact counts of frequent words; those of others are joined."""
+    often = F.col("n") * heavy >= F.lit(model.tokens)
+    frequent = model.counts.filter(often).toArrow()  # ``heavy`` rows of two numbers at most
+    key, n = (np.asarray(frequent[c].combine_chunks()) for c in ("key", "n"))
+    key, n = (key.astype(np.int64).view(np.uint64), n) if len(key) else (np.zeros(1, np.uint64), np.zeros(1, np.int64))
+    order = np.argsort(key)
+    scored = store(_by_broadcast(rows, model, Scorer(model.tokens, model.words, key[order], n[order])), "scored")
+    items = scored.select("row", F.explode("items").alias("item")).select("row", "item.*")
+    rare = model.counts.filter(~often).select("key", F.col("n").alias("count"))
+    sums = items.join(rare, "key").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("count") + 1)).alias("more_gain"))
+    known, gain = F.col("known") + F.coalesce("more", F.lit(0)), F.col("gain") + F.coalesce("more_gain", F.lit(0.0))
+    return scored.join(sums, "row", "left").withColumns({"known": known, "gain": gain})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in _single(batch.column(3)):
-                g = grams(b)
-                keys = np.concatenate([k for _, k in _requests(g, segments, routed)])
-                levels = np.frombuffer(b"".join(x["data"] for x in batch.column(4)[b.first].as_py()), np.uint8)
-                order = np.argsort(keys)
-                keys, levels = keys[order], levels[order].astype(np.int64)
-                yield scorer.batch(batch, b.first, g, lambda key: levels[np.searchsorted(keys, key)])  # noqa: B023
-
-    kind = "group long, row long, data binary"
-    asks = rows.select("row", "text").mapInArrow(asked, kind).withColumn("segment", F.lit(None).cast("long"))
-    held = model.filter.select(
-        F.floor(F.col("segment") / routed).alias("group"), F.lit(None).cast("long").alias("row"), F.col("words").alias("data"), "segment"
-    )
-    both = held.unionByName(asks).repartition(parts, "group").sortWithinPartitions("group", F.col("row").asc_nulls_first())
-    answers = both.mapInArrow(answered, kind).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("group", "data"))).alias("answers"))
-    return rows.join(answers, "row").select("row", "doc_id", "learned", "text", "answers").mapInArrow(run, _SCORED)
-
-
-def score(docs: DataFrame, model: Model, learned: Column, most: int = MOST_BROADCAST, routed: int = ROUTED, heavy: int = MOST_HEAVY) -> DataFrame:
+
+def score(
+    docs: DataFrame, model: Model, learned: Column, most: int = MOST_BROADCAST, routed: int = ROUTED, heavy: int = MOST_HEAVY, asking: int = ASKING_TEXT
+) -> DataFrame:
     """Every row's doc_id, learned, n_tokens, n_known, train_tokens, base_score and score.
 
     Texts are lower-cased A-Z; their tokens are words and one end. A null or empty text is its end
@@ -369,22 +488,11 @@ def score(docs: DataFrame, model: Model, learned: Column, most: int = MOST_BROAD
     without tokens gives every token the probability 1. At most ``heavy`` words are broadcast with
     their exact counts. Columns but doc_id and text are not read.
     """
-    often = F.col("n") * heavy >= F.lit(model.tokens)
-    frequent = model.counts.filter(often).toArrow()  # ``heavy`` rows of two numbers at most
-    key, n = (np.asarray(frequent[c].combine_chunks()) for c in ("key", "n"))
-    key, n = (key.astype(np.int64).view(np.uint64), n) if len(key) else (np.zeros(1, np.uint64), np.zeros(1, np.int64))
-    order = np.argsort(key)
-    scorer = Scorer(model.tokens, model.words, key[order], n[order])
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), learned.alias("learned"), F.col("text").cast("string"))
-    scored = store(_by_broadcast(rows, model, scorer) if model.size <= most else _by_route(rows, model, scorer, routed), "scored")
-    items = scored.select("row", F.explode("items").alias("item")).select("row", "item.*")
-    rare = model.counts.filter(~often).select("key", F.col("n").alias("count"))
-    sums = items.join(rare, "key").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("count") + 1)).alias("more_gain"))
-    gain = F.col("gain") + F.coalesce("more_gain", F.lit(0.0))
-    return scored.join(sums, "row", "left").select(
-        "doc_id", "learned", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (gain - F.col("n_tokens") * F.log10(F.lit(float(model.tokens + model.words + 1)))).alias("base_score"), "score",
+    scored = _broadcast(rows, model, heavy) if model.size <= most else _by_route(rows, model, routed, asking)
+    return scored.select(
+        "doc_id", "learned", "n_tokens", F.col("known").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
+        (F.col("gain") - F.col("n_tokens") * F.log10(F.lit(float(model.tokens + model.words + 1)))).alias("base_score"), "score",
     )
 
 

@@ -103,6 +103,24 @@ def test_both_ways_are_the_same(spark, rows):
     assert np.allclose([r[6] for r in one], [r[6] for r in other], rtol=1e-12)
 
 
+def test_texts_ask_the_segments_by_blocks(spark, rows):
+    r = random.Random(4)
+    texts = [(i, " ".join(str(r.randrange(20_000)) for _ in range(300))) for i in range(600)]
+    texts += [(7, "one of many")] * 300 + [(None, "a b"), (None, None), (601, "")]
+    docs, learned = spark.createDataFrame(texts, "doc_id long, text string"), ~ngrams.held_out()
+    model = ngrams.train(docs.filter(learned))
+    dealt = ngrams._in_blocks(docs.select(F.monotonically_increasing_id().alias("row"), "text"), 1 << 18)
+    asks = ngrams._asks(dealt, 40, 8)
+    assert 1 < dealt.select("block").distinct().count() < 10
+    assert asks.count() == asks.select("block", "group").distinct().count() == 5 * dealt.select("block").distinct().count()
+    one, other = (ngrams.score(docs, model, learned, most, asking=1 << 18) for most in (ngrams.MOST_BROADCAST, 0))
+    plan = other._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") == plan.count("FlatMapCoGroupsInArrow") == 1
+    one, other = rows(one), rows(other)
+    assert len(one) == len(texts) and [r[:5] for r in one] == [r[:5] for r in other]
+    assert np.allclose([r[5:] for r in one], [r[5:] for r in other], rtol=1e-12)
+
+
 def test_levels_of_a_segment():
     r = np.random.default_rng(3)
     key = r.integers(0, 1 << 63, 400_000).astype(np.uint64)
