@@ -65,6 +65,20 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def move_files(spark: SparkSession, source: str, target: str, prefix: str = "") -> None:
+    """Move the data files of a folder of the shared storage, if it is there, into another; their names get a prefix."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    folder, to = at(source), at(target)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return
+    files.mkdirs(to)
+    for status in files.listStatus(folder):
+        path = status.getPath()
+        if path.getName()[0] not in "_." and not files.rename(path, at(to, prefix + path.getName())):
+            raise OSError(f"can't move {path}")
+
+
 def drop_dir(spark: SparkSession, path: str) -> None:
     """Remove a folder of the shared storage, if it is there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -260,3 +260,27 @@ def test_documents_are_written_compressed_in_bounded_files(spark, monkeypatch):
     counts = [len(gzip.open(f).read().splitlines()) for f in files]
     assert all(f.endswith(".gz") for f in files) and max(counts) <= 3
     assert sum(counts) == budget.read_raw(spark, root, lines=True).count() > 3
+
+
+def test_documents_are_gathered_in_one_exchange_of_each_table(spark, rows):
+    from workload import queries
+
+    text = queries._order_texts(spark, "/root/testdata/sf0.001")
+    assert text._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    root = queries._order_documents(spark, "/root/testdata/sf0.001")
+    read = spark.read.text(root + "/by=*").select("value")
+    keys = rows(read.select(F.get_json_object("value", "$.data.server_knowledge")))
+    assert len(keys) == text.count() == text.distinct().count()
+
+
+def test_files_are_moved_under_new_names(spark, tmp_path):
+    from tallyhouse.session import move_files
+
+    (tmp_path / "a").mkdir()
+    for name in ("x.gz", "_SUCCESS", ".x.crc"):
+        (tmp_path / "a" / name).write_text(name)
+    for n in (1, 2):
+        move_files(spark, str(tmp_path / "a"), str(tmp_path / "b/c"), f"{n}-")
+        (tmp_path / "a" / "x.gz").write_text("y")
+    move_files(spark, str(tmp_path / "none"), str(tmp_path / "b/c"))
+    assert sorted(p.name for p in (tmp_path / "b/c").iterdir() if p.name[0] != ".") == ["1-x.gz", "2-x.gz"]

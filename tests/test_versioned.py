@@ -118,3 +118,46 @@ def test_a_merge_leaves_nothing_aside(table, put, rows, monkeypatch, tmp_path):
     assert not (tmp_path / "delta").exists()
     table.merge(put(), ["id"], "scraped_on")
     assert not (tmp_path / "delta").exists() and rows(table.read(), "v") == [(2,)]
+
+
+def test_merged_rows_stand_beside_what_was_there(spark, table, put, rows, monkeypatch):
+    monkeypatch.setattr(versioned, "MOST_MERGED", 3)
+    contents = lambda: sorted((r["_part"], r["_version"], r["n_rows"]) for r in table.versions().collect())
+    table.replace(put(("a", D1, 1, 1), ("b", D1, 1, 2), ("c", D2, 1, 3)), 1)
+    old = set(table.read().inputFiles())
+    table.merge(put(("a", D1, 2, 10), ("a", D1, 3, 11), ("d", D1, 1, 4)), ["id"], "scraped_on")
+    assert contents() == [("2024-01-01", 1, 2), ("2024-01-01", 2, 3), ("2024-01-02", 1, 1)]
+    assert old < set(table.read().inputFiles())  # nothing is written again
+    table.merge(put(("a", D1, 2, 99), ("b", D1, 0, 98)), ["id"], "scraped_on")
+    want = [("a", 11), ("b", 2), ("c", 3), ("d", 4)]
+    assert rows(table.read(), "id", "v") == want and rows(table.read(["2024-01-01"]), "id") == [("a",), ("b",), ("d",)]
+    table.merge(put(("c", D2, 2, 30)), ["id"], "scraped_on")  # the day of three contents is made whole
+    assert rows(table.read(), "id", "v") == [("a", 11), ("b", 2), ("c", 30), ("d", 4)]
+    assert contents() == [("2024-01-01", 4, 3), ("2024-01-02", 4, 1)]
+    table.merge(put(("a", D1, 9, 12)), ["id"], "scraped_on")
+    table.merge(put(("a", D1, 1, 13)), ["id"], "v")  # made unique otherwise
+    assert rows(table.read(), "id", "v") == [("a", 13), ("b", 2), ("c", 30), ("d", 4)]
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_a_merge_moves_rows_once_at_most(spark, tmp_path, few):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    table = versioned.PartTable(spark, str(tmp_path / "t"), schema, versioned.by_bucket(["id"], 4), few)
+    data = spark.range(1000).select(F.col("id").cast("string"), F.lit(D1).alias("day"), F.lit(1).alias("scraped_on"), F.col("id").cast("int").alias("v"))
+    plans = []
+    write = versioned.PartTable._write
+
+    def spied(self, tagged, version):
+        plans.append(tagged._jdf.queryExecution().executedPlan().toString())
+        return write(self, tagged, version)
+
+    versioned.PartTable._write = spied
+    try:
+        for n in (0, 1):
+            table.merge(data.filter(F.col("v") % 2 == n), ["id"], "scraped_on")
+    finally:
+        versioned.PartTable._write = write
+    assert [p.count("Exchange") for p in plans] == [0 if few else 1] * 2
+    assert table.read().count() == 1000
+    empty = versioned.PartTable(spark, str(tmp_path / "none"), schema, versioned.by_bucket(["id"], 4)).read()
+    assert empty.schema.names == schema.names and empty._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1000

@@ -182,6 +182,15 @@ def _by_id(df: DataFrame, entity: Column, by_id: bool) -> DataFrame:
 
 
 def stg_transaction(spark: SparkSession, sf_dir: str, dealt: bool = True, by_id: bool = False) -> DataFrame:
+    return transactions(_by_id(load(spark, sf_dir, "orders", dealt and not by_id), transaction_id(), by_id))
+
+
+def transaction_id() -> Column:
+    return _id("t", F.col("o_orderkey"))
+
+
+def transactions(orders: DataFrame, *kept: str) -> DataFrame:
+    """Every order (with its ``id``) as a transaction; ``kept`` columns go along."""
     key, owner = F.col("o_orderkey"), F.col("o_custkey")
     price = _dec("o_totalprice").cast(MONEY)
     status = (
@@ -189,8 +198,8 @@ def stg_transaction(spark: SparkSession, sf_dir: str, dealt: bool = True, by_id:
         .when(F.col("o_orderstatus") == "O", "uncleared")
         .otherwise("reconciled")
     )
-    orders = _by_id(load(spark, sf_dir, "orders", dealt and not by_id), _id("t", key), by_id)
     return _scraped(orders, key % 5 == 0).select(
+        *kept,
         "id",
         F.when(key % 3 == 0, price).otherwise(-price).cast(MONEY).alias("amount"),
         _id("ref-", key % 1000).alias("description"),
@@ -210,14 +219,25 @@ def stg_transaction(spark: SparkSession, sf_dir: str, dealt: bool = True, by_id:
 
 def stg_subtransaction(spark: SparkSession, sf_dir: str, dealt: bool = True, by_id: bool = False) -> DataFrame:
     """All line items, as parts of every fourth order."""
-    parent = F.col("l_orderkey") - F.col("l_orderkey") % 4
-    line = F.col("l_linenumber")
-    key = F.concat_ws(
-        "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.to_date("l_shipdate").cast("string")
-    )
+    return parts(_by_id(load(spark, sf_dir, "lineitem", dealt and not by_id), part_id(), by_id))
+
+
+def part_id() -> Column:
+    shipped = F.to_date("l_shipdate").cast("string")
+    return F.md5(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shipped))
+
+
+def part_owner() -> Column:
+    """Key of the order that a line item is a part of."""
+    return F.col("l_orderkey") - F.col("l_orderkey") % 4
+
+
+def parts(lines: DataFrame, *kept: str) -> DataFrame:
+    """Every line item (with its ``id``) as a part; ``kept`` columns go along."""
+    parent, line = part_owner(), F.col("l_linenumber")
     merged = (parent % 20 == 0) & (line % 2 == 0)
-    lines = _by_id(load(spark, sf_dir, "lineitem", dealt and not by_id), F.md5(key), by_id)
     return _scraped(lines, F.col("l_partkey") % 10 == 0).select(
+        *kept,
         "id",
         F.when(merged, _id("m", parent)).otherwise(_id("t", parent)).alias("super_id"),
         F.when(line % 3 == 0, _id("line-", line)).alias("description"),

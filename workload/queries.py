@@ -14,7 +14,7 @@ from tallyhouse.functions.money import MONEY_SUM, to_int
 from tallyhouse.operators import calendar, dedupe, joins, quality, series, unnest
 from tallyhouse.plans import checks, facts, marts, metrics, staging
 from tallyhouse.plans.warehouse import LOOKUPS, Staging, Warehouse
-from tallyhouse.session import scratch_dir
+from tallyhouse.session import move_files, scratch_dir
 from tallyhouse.sources import budget, incremental, journeys, lake, seeds, statements, versioned
 from tallyhouse.streaming import snapshots
 from workload import adapters, oracle
@@ -522,28 +522,36 @@ DOCUMENT_ORDERS = 32  # order keys that share a document
 FILE_DOCUMENTS = 2000  # a compressed file is read by one task, so its documents are bounded
 
 
-def _write_documents(text: DataFrame, root: str, mode: str = "errorifexists") -> None:
+def _write_documents(text: DataFrame, root: str, *above: str) -> None:
     """Documents (value, date), one per line, as compressed files of day folders: text takes several times as much."""
-    writer = text.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", FILE_DOCUMENTS)
-    writer.partitionBy("date").text(f"{root}/by={lake.BUDGET_SOURCE}")
+    writer = text.write.option("compression", "gzip").option("maxRecordsPerFile", FILE_DOCUMENTS)
+    writer.partitionBy(*above, "date").text(root if above else f"{root}/by={lake.BUDGET_SOURCE}")
 
 
 def _order_documents(spark: SparkSession, sf: str) -> str:
-    """Documents of two budgets, each with the transactions and parts of some orders, one per line.
+    """The documents of ``_order_texts``, written."""
+    root = scratch_dir(spark, "budget")
+    _write_documents(_order_texts(spark, sf), root)
+    return root
+
+
+def _order_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents (value, date) of two budgets, each with the transactions and parts of some orders, one per line.
 
     Arrays hold none, one or many entries; of odd documents an empty one is left out. A document is
-    bounded by its order keys.
+    bounded by its order keys. Orders and line items are dealt out by document as they are read, before
+    they are turned into entries of many more bytes: a union keeps that, so gathering takes no exchange.
     """
     c = F.col
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def rows(table: DataFrame, order: Column, entry: Column, name: str) -> DataFrame:
-        group = F.floor(order / DOCUMENT_ORDERS).alias("g")
-        return table.select(group, "scraped_on", entry.alias(name))
+    def rows(table: str, order: Column, entity: Column, made: Callable[..., DataFrame], entry: Column, name: str) -> DataFrame:
+        group = F.floor(F.abs(order) / DOCUMENT_ORDERS)
+        read = adapters.load(spark, sf, table, dealt=False).withColumn("g", group).repartition(n, "g")
+        return made(read.withColumn("id", entity), "g").select("g", "scraped_on", entry.alias(name))
 
-    number = F.regexp_extract("id", "[0-9]+", 0).cast("bigint")
-    parent = F.regexp_extract("super_id", "[0-9]+", 0).cast("bigint")
-    entries = rows(adapters.stg_transaction(spark, sf), number, _transaction_entry(), "t").unionByName(
-        rows(adapters.stg_subtransaction(spark, sf), parent, _subtransaction_entry(), "p"), allowMissingColumns=True
+    entries = rows("orders", c("o_orderkey"), adapters.transaction_id(), adapters.transactions, _transaction_entry(), "t").unionByName(
+        rows("lineitem", adapters.part_owner(), adapters.part_id(), adapters.parts, _subtransaction_entry(), "p"), allowMissingColumns=True
     )
     arrays = entries.groupBy("g", "scraped_on").agg(
         F.collect_list("t").alias("transactions"), F.collect_list("p").alias("subtransactions")
@@ -551,10 +559,8 @@ def _order_documents(spark: SparkSession, sf: str) -> str:
     shown = [F.when((F.size(a) > 0) | (c("g") % 2 == 0), c(a)).alias(a) for a in ("transactions", "subtransactions")]
     fields = [F.concat(F.lit("b"), c("g") % 2).alias("id"), *shown]
     document = F.struct(F.struct(*fields).alias("budget"), c("g").alias("server_knowledge"))
-    root = scratch_dir(spark, "budget")
     text = F.to_json(F.struct(document.alias("data"))).alias("value")
-    _write_documents(arrays.select(text, c("scraped_on").cast("date").alias("date")), root)
-    return root
+    return arrays.select(text, c("scraped_on").cast("date").alias("date"))
 
 
 _DOCUMENTS = """
@@ -614,27 +620,28 @@ def budget_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 )
 def stream_budget_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that arrive over three runs; with the last ones come old ones again, with wrong amounts."""
-    text = budget.read_raw(spark, _order_documents(spark, sf), lines=True)
+    text = _order_texts(spark, sf)
     g = F.regexp_extract("value", '"server_knowledge":([0-9]+)', 1).cast("bigint")
     first = F.col("date") == adapters.V1.date().isoformat()
     run = F.when(~first, 3).otherwise(1 + F.floor(g / 2) % 2)
     marked = lambda mark: F.regexp_replace("value", F.lit('"server_knowledge":[0-9]+'), F.concat(F.lit('"server_knowledge":'), mark.cast("string")))
     root = scratch_dir(spark, "stream")
-    sent = text.select(run.cast("int").alias("run"), "date", marked(run).alias("value")).unionByName(
-        text.filter(first & (run == 1)).select(
-            F.lit(3).alias("run"), "date", F.regexp_replace(marked(F.lit(1)), '"amount":', '"amount":7').alias("value")
-        )
-    )
+    once = F.struct(run.cast("int").alias("run"), marked(run).alias("value"))
+    again = F.struct(F.lit(3).alias("run"), F.regexp_replace(marked(F.lit(1)), '"amount":', '"amount":7').alias("value"))
+    sent = F.when(first & (run == 1), F.array(once, again)).otherwise(F.array(once))
+    _write_documents(text.select("date", F.explode(sent).alias("sent")).select("date", "sent.*"), f"{root}/sent", "run")
     kinds = {"transaction": ("transactions", staging.stg_transaction), "part": ("subtransactions", staging.stg_subtransaction)}
     empty = budget.read_budget(spark, _nothing(spark, root), *(array for array, _ in kinds.values()), lines=True)
     tables = {
         kind: snapshots.Merged(
-            stage, versioned.PartTable(spark, f"{root}/{kind}", stage(empty).schema, versioned.by_bucket(["id"], 8)), ("id",)
+            stage, versioned.PartTable(spark, f"{root}/{kind}", stage(empty).schema, versioned.by_bucket(["id"], 8), few=True), ("id",)
         )
         for kind, (_, stage) in kinds.items()
     }
     for n in (1, 2, 3):
-        _write_documents(sent.filter(F.col("run") == n).select("value", "date"), f"{root}/in", "append")
+        for day in (adapters.V1, adapters.V2):  # the files of the run arrive
+            folder = f"date={day.date().isoformat()}"
+            move_files(spark, f"{root}/sent/run={n}/{folder}", f"{root}/in/by={lake.BUDGET_SOURCE}/{folder}", f"{n}-")
         for _ in range(2):  # the second run finds nothing new
             arriving = snapshots.budget_stream(spark, f"{root}/in", *(array for array, _ in kinds.values()))
             snapshots.merge_documents(arriving, list(tables.values()), snapshots.cursor_table(spark, f"{root}/cursor"), f"{root}/state")
